@@ -36,6 +36,8 @@ def saved(df: DataFrame) -> DataFrame:
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/wattloom/{uuid.uuid4().hex}"
     df.write.parquet(path)
+    # The shuffle files of the finished job go with the driver's garbage: now, not at some later time.
+    spark._jvm.System.gc()
     back = spark.read.schema(df.schema).parquet(path)
     back._wattloom_path = path
     return back

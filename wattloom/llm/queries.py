@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from wattloom.llm import byte_bpe, chat_format, html_extract, packing, quality, token_counts
+from wattloom.llm import byte_bpe, chat_format, embedding_dedup, html_extract, license_scan, line_dedup, minhash, packing, quality, token_counts
 from wattloom.llm.common import table
 
 #: A user and an assistant that both say control strings, added to the conversations.
@@ -16,10 +16,22 @@ def op1_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_extract.extract_pages(table(spark, sf_dir, "pages"))
 
 
+def op2_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_scan.scan_licenses(table(spark, sf_dir, "documents"))
+
+
+def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup.line_report(table(spark, sf_dir, "documents"))
+
+
 def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.count_tokens(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
 
+def op5_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embedding_dedup.embedding_links(table(spark, sf_dir, "embeddings"))
+
+
 def op6_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return byte_bpe.encode_digests(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
 
@@ -34,11 +46,15 @@ def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
 
+def op9_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.near_duplicates(table(spark, sf_dir, "documents"), size=4)
+
+
 def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return quality.quality_report(docs, quality.fit(docs, table(spark, sf_dir, "labels")))
 
 
-QUERIES = {f.__name__: f for f in (op1_html_extraction, op4_token_counts, op6_byte_bpe, op7_chat_formatting, op8_packing, op10_quality_rules)}
+QUERIES = {f.__name__: f for f in (op1_html_extraction, op2_license_scan, op3_line_dedup, op4_token_counts, op5_embedding_near_dedup, op6_byte_bpe, op7_chat_formatting, op8_packing, op9_minhash_near_dedup, op10_quality_rules)}
 #: None of these results can be written in SQL; tests hold them against brute force.
 ORACLES: dict[str, str] = {}
