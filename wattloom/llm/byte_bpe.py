@@ -13,6 +13,7 @@ import base64
 import hashlib
 import struct
 from array import array
+from functools import lru_cache
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -102,11 +103,17 @@ class ByteBpe(dict):
         return b"".join(map(self.bytes_of.__getitem__, ids))
 
 
+@lru_cache(maxsize=2)
+def byte_bpe(path: str, pattern: str) -> ByteBpe:
+    """A worker's model; what it has learnt serves the worker's later tasks too."""
+    return ByteBpe(path, pattern)
+
+
 def encode_documents(docs: DataFrame, ranks: str, pattern: str) -> DataFrame:
     """doc_id, the ids of the whole text, and what they decode to."""
 
     def run(batches):
-        bpe = ByteBpe(ranks, pattern)
+        bpe = byte_bpe(ranks, pattern)
         for b in batches:
             for doc, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
                 ids = bpe.encode(text or "")
@@ -121,7 +128,7 @@ def encode_digests(docs: DataFrame, ranks: str, pattern: str) -> DataFrame:
     names = [x.split()[0] for x in SCHEMA.split(", ")]
 
     def run(batches):
-        bpe = ByteBpe(ranks, pattern)
+        bpe = byte_bpe(ranks, pattern)
         for b in batches:
             sizes, sums, backs = [], [], []
             for text in b.column(1).to_pylist():

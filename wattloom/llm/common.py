@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import time
 import uuid
 from collections.abc import Iterator
 
@@ -31,13 +32,19 @@ def shared_dir(spark: SparkSession) -> str:
     return found.rstrip("/")
 
 
+def release(spark: SparkSession) -> None:
+    """Let the shuffle files of finished jobs go now: they go with the driver's garbage, once its listeners are through."""
+    for _ in range(2):
+        spark._jvm.System.gc()
+        time.sleep(0.1)
+
+
 def saved(df: DataFrame) -> DataFrame:
     """df written once to the shared folder and read back: cuts the lineage, survives lost executors."""
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/wattloom/{uuid.uuid4().hex}"
     df.write.parquet(path)
-    # The shuffle files of the finished job go with the driver's garbage: now, not at some later time.
-    spark._jvm.System.gc()
+    release(spark)
     back = spark.read.schema(df.schema).parquet(path)
     back._wattloom_path = path
     return back

@@ -4,9 +4,11 @@ A line of at least `words` words is removed if an earlier line (by doc_id, then
 is equal to it or has a word set of Jaccard similarity `percent` or more. Equal lines meet in an
 aggregate. For the others each distinct line orders its words by rarity, takes the prefix that two
 similar lines cannot both miss, and meets other lines there under length and positional filters;
-survivors are verified on their words. Long lists are first held against their earliest line, and
-only lines which that doesn't settle meet the whole list, so that groups of copies aren't paired off.
-Rarity is the logarithm of a word's count, counted in 16384 buckets of word hashes over all lines:
+survivors are verified on their words. Each line first meets the earliest line of each of its lists,
+and only lines which that doesn't settle meet whole lists, so that groups of copies aren't paired off.
+The positional filter is joined by a parity filter: 32 bits a line that differ in no more places than
+the word sets do.
+Rarity is the logarithm of a word's count, counted in 2**18 buckets of word hashes over all lines:
 any order is exact, as long as all lines share it, and this one has a fixed size.
 Defined results: null text has no lines and stays null; shorter and empty lines stay; rows alike in
 doc_id and text count as one document and come out alike; rows without doc_id come last; an empty
@@ -15,17 +17,18 @@ table gives no rows; all other columns are carried through untouched.
 
 from __future__ import annotations
 
-import math
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import Window
 
 from wattloom.llm.common import discard, saved
 
 WORDS, PERCENT = 5, 80
-BUCKETS = 1 << 14
-#: A list is long from so many lines on; ids of lines to verify that may be broadcast (8 bytes each).
-LONG_LIST, BROADCAST_IDS = 8, 1 << 21
+BUCKETS = 1 << 18
+#: Rarity (twice the logarithm of a word's count) from which a list is salted, and the salts.
+COMMON_LEVEL, SALTS = 36, 64
+#: Ids of lines to verify that may be broadcast (8 bytes each).
+BROADCAST_IDS = 1 << 21
 _SPACE = r"[ \t\x0B\f\r]"
 _INK = r"[^ \t\x0B\f\r]"
 
@@ -34,9 +37,15 @@ def _is_long(line: Column, words: int) -> Column:
     return line.rlike(f"(?:{_INK}+{_SPACE}+){{{words - 1}}}{_INK}")
 
 
+def raw_words(line: Column) -> Column:
+    """The words of a line that has any; the plain form where single spaces part them."""
+    trimmed = F.btrim(line, F.lit(" \t\x0b\f\r"))
+    return F.when(trimmed.rlike(r"[\t\x0B\f\r]|  "), F.split(trimmed, f"{_SPACE}+")).otherwise(F.split(trimmed, " "))
+
+
 def words_of(line: Column) -> Column:
     """The distinct words of a line."""
-    return F.array_distinct(F.split(F.btrim(line, F.lit(" \t\x0b\f\r")), f"{_SPACE}+"))
+    return F.array_distinct(raw_words(line))
 
 
 def _keyed(docs: DataFrame) -> DataFrame:
@@ -52,28 +61,39 @@ def distinct_lines(docs: DataFrame, words: int) -> DataFrame:
 
 
 def rarity(classes: DataFrame) -> Column:
-    """An array with the rarity of each bucket of word hashes, 0 for the rarest."""
-    words = classes.select(F.explode(F.split(F.btrim("line", F.lit(" \t\x0b\f\r")), f"{_SPACE}+")).alias("word"))
-    counts = words.groupBy(F.pmod(F.xxhash64("word"), F.lit(BUCKETS)).alias("bucket")).count().collect()
+    """The rarity of each bucket of word hashes as an array, 0 for the rarest: two steps a doubling of the count."""
+    words = classes.select(F.explode(raw_words(F.col("line"))).alias("word")).select(F.pmod(F.xxhash64("word"), F.lit(BUCKETS)).cast("int").alias("bucket"), F.lit(1).alias("n"))
+    counts = words.groupBy("bucket").agg(F.sum("n").alias("n")).select("bucket", F.least(F.lit(63), F.floor(2 * F.log2(F.col("n") + 1))).cast("int").alias("level")).toArrow()
     levels = [0] * BUCKETS
-    for r in counts:
-        levels[r["bucket"]] = min(31, int(2 * math.log2(r["count"])) // 2)
-    return F.expr(f"cast(split('{','.join(map(str, levels))}', ',') as array<bigint>)")
+    for bucket, level in zip(counts.column(0).to_pylist(), counts.column(1).to_pylist()):
+        levels[bucket] = level
+    return F.expr(f"cast(split('{','.join(map(str, levels))}', ',') as array<tinyint>)")
 
 
 def postings(classes: DataFrame, levels: Column, percent: int) -> DataFrame:
-    """token, cls, doc, n (words of the line) and place (of the token, from 0) for every prefix token."""
-    codes = F.transform(words_of(F.col("line")), lambda w: F.xxhash64(w))
-    ordered = F.sort_array(F.transform(codes, lambda h: F.shiftleft(F.element_at(levels, (F.pmod(h, F.lit(BUCKETS)) + 1).cast("int")), 58).bitwiseOR(F.shiftrightunsigned(h, 6))))
-    held = classes.select("cls", "doc", ordered.alias("tokens")).withColumn("n", F.size("tokens"))
+    """token, cls, doc and m (a packed line: _unpacked) for every prefix token."""
+    hashes = classes.select("cls", "doc", F.array_distinct(F.transform(raw_words(F.col("line")), lambda w: F.xxhash64(w))).alias("h"))
+    pack = lambda h: F.shiftleft(F.element_at(levels, (F.pmod(h, F.lit(BUCKETS)) + 1).cast("int")).cast("bigint"), 57).bitwiseOR(F.shiftrightunsigned(h, 7))
+    # For each of 32 classes of words, the parity of the line's words in it: two lines differ in no more bits than in words.
+    bits = F.aggregate("h", F.lit(0).cast("bigint"), lambda b, h: b.bitwiseXOR(F.call_function("shiftleft", F.lit(1).cast("bigint"), h.bitwiseAND(F.lit(31)).cast("int"))))
+    held = hashes.select("cls", "doc", F.size("h").alias("n"), bits.alias("bits"), F.sort_array(F.transform("h", pack)).alias("tokens"))
     prefix = F.col("n") - F.floor((percent * F.col("n") + 99) / 100).cast("int") + 1
-    return held.select("cls", "doc", "n", F.posexplode(F.slice("tokens", F.lit(1), prefix)).alias("place", "token"))
+    rows = held.select("cls", "doc", "n", "bits", F.posexplode(F.slice("tokens", F.lit(1), prefix)).alias("place", "token"))
+    sizes = F.when(F.col("n") < 1 << 15, F.shiftleft(F.col("n").cast("bigint"), 16).bitwiseOR(F.col("place").cast("bigint"))).otherwise(F.lit(0).cast("bigint"))
+    return rows.select("token", "cls", "doc", F.shiftleft("bits", 32).bitwiseOR(sizes).alias("m"))
+
+
+def _unpacked(m: Column) -> tuple[Column, Column, Column]:
+    """Words of a line (0 if too many to say), place of the token, parity bits."""
+    return F.shiftright(m, 16).bitwiseAND(F.lit(0xFFFF)).cast("int"), m.bitwiseAND(F.lit(0xFFFF)).cast("int"), F.shiftrightunsigned(m, 32)
 
 
-def _able(x: str, y: str, percent: int) -> Column:
-    """Length and positional filter for a token that stands at these places of two lines."""
-    nx, ny, px, py = (F.col(f"{a}.{b}") for b in ("n", "place") for a in (x, y))
-    return (100 * F.least(nx, ny) >= percent * F.greatest(nx, ny)) & ((100 + percent) * (1 + F.least(nx - px, ny - py) - 1) >= percent * (nx + ny))
+def _able(x: Column, y: Column, percent: int) -> Column:
+    """Length, positional and parity filter for a token of two packed lines."""
+    (nx, px, bx), (ny, py, by) = _unpacked(x), _unpacked(y)
+    both = percent * (nx + ny)
+    fits = (100 * F.least(nx, ny) >= percent * F.greatest(nx, ny)) & ((100 + percent) * F.least(nx - px, ny - py) >= both) & ((100 + percent) * (nx + ny - F.bit_count(bx.bitwiseXOR(by))) >= 2 * both)
+    return (nx == 0) | (ny == 0) | fits
 
 
 def verified(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
@@ -82,9 +102,9 @@ def verified(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
     ids = pairs.select(F.col("x").alias("cls")).union(pairs.select("y")).distinct()
     if ids.count() <= BROADCAST_IDS:
         ids = F.broadcast(ids)
-    lines = classes.join(ids, "cls", "left_semi").select("cls", F.struct("doc", "rk", "pos").alias("at"), words_of(F.col("line")).alias("words"))
-    of = lambda a: lines.select(F.col("cls").alias(a), F.col("at").alias(f"{a}at"), F.col("words").alias(f"{a}w"))
-    both = pairs.join(of("x"), "x").join(of("y"), "y").where("yat < xat")
+    lines = classes.join(ids, "cls", "left_semi").select("cls", F.struct("doc", "rk", "pos").alias("at"), "line")
+    of = lambda a: lines.select(F.col("cls").alias(a), F.col("at").alias(f"{a}at"), F.col("line").alias(f"{a}line"))
+    both = pairs.join(of("x"), "x").join(of("y"), "y").where("yat < xat").select("x", words_of(F.col("xline")).alias("xw"), words_of(F.col("yline")).alias("yw"))
     common = F.size(F.array_intersect("xw", "yw"))
     found = saved(both.where((100 + percent) * common >= percent * (F.size("xw") + F.size("yw"))).select(F.col("x").alias("cls")).distinct())
     discard(pairs)
@@ -93,15 +113,23 @@ def verified(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
 
 def similar_lines(classes: DataFrame, percent: int) -> DataFrame:
     """cls of every distinct line that an earlier one is similar to."""
-    posts = saved(postings(classes, rarity(classes), percent))
-    lists = posts.groupBy("token").agg(F.min_by("cls", "doc").alias("cls"), F.min_by("n", "doc").alias("n"), F.min_by("place", "doc").alias("place"), F.count("*").alias("size"))
-    heads = lists.where(F.col("size") >= LONG_LIST)
-    starred = posts.alias("x").join(heads.alias("y"), (F.col("x.token") == F.col("y.token")) & (F.col("x.cls") != F.col("y.cls")) & _able("x", "y", percent))
-    settled = verified(starred.select(F.col("x.cls").alias("x"), F.col("y.cls").alias("y")), classes, percent)
-    rest = posts.join(settled, "cls", "left_anti")
-    met = rest.alias("x").join(posts.alias("y"), (F.col("x.token") == F.col("y.token")) & (F.col("y.doc") <= F.col("x.doc")) & (F.col("x.cls") != F.col("y.cls")) & _able("x", "y", percent))
+    posts = postings(classes, rarity(classes), percent)
+    # Lists of very common words are dealt over tasks: the lowest bits of their tokens give way to a salt.
+    common, low = F.shiftrightunsigned("token", 57) >= COMMON_LEVEL, F.lit(SALTS - 1).cast("bigint")
+    bare = F.when(common, F.col("token").bitwiseAND(F.bitwise_not(low))).otherwise(F.col("token"))
+    salted = posts.withColumn("token", F.when(common, bare.bitwiseOR(F.col("cls").bitwiseAND(low))).otherwise(F.col("token")))
+    own = Window.partitionBy("token").orderBy("doc", "cls")
+    listed = salted.withColumn("head", F.first(F.struct("cls", "m")).over(own.rowsBetween(Window.unboundedPreceding, 0))).withColumn("nth", F.row_number().over(own)).withColumn("next", F.lead("doc").over(own))
+    listed = listed.where((F.col("nth") > 1) | F.col("next").isNotNull() | common)
+    later = (F.col("nth") > 2) | common | F.coalesce(F.col("next") == F.col("doc"), F.lit(False))
+    star = (F.col("nth") > 1) & _able(F.col("m"), F.col("head.m"), percent)
+    shared = saved(listed.select(bare.alias("token"), "cls", "doc", "m", later.alias("later"), F.when(star, F.col("head.cls")).alias("head")))
+    settled = verified(shared.where("head is not null").select(F.col("cls").alias("x"), F.col("head").alias("y")), classes, percent)
+    slim = shared.select("token", "cls", "doc", "m")
+    rest = shared.where("later").select(slim.columns).join(settled, "cls", "left_anti")
+    met = rest.alias("x").join(slim.alias("y"), (F.col("x.token") == F.col("y.token")) & (F.col("y.doc") <= F.col("x.doc")) & (F.col("x.cls") != F.col("y.cls")) & _able(F.col("x.m"), F.col("y.m"), percent))
     more = verified(met.select(F.col("x.cls").alias("x"), F.col("y.cls").alias("y")), classes, percent)
-    discard(posts)
+    discard(shared)
     return settled.union(more)
 
 

@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from wattloom.llm.common import as_bytes, document_batches, partition_index
-from wattloom.llm.word_tokens import ChunkIds
+from wattloom.llm.word_tokens import chunk_ids
 
 SCHEMA = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
 CAPACITY, END_ID = 4096, 2
@@ -92,7 +92,7 @@ def pack_documents(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, en
     end = int(end_id).to_bytes(4, "little")
 
     def run(batches):
-        encoder, part = ChunkIds(tokenizer), partition_index()
+        encoder, part = chunk_ids(tokenizer), partition_index()
         held: list[tuple[int | None, bytes]] = []
         tokens = first = 0
 

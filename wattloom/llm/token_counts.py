@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from wattloom.llm.common import as_bytes, document_batches, partition_index, saved
-from wattloom.llm.word_tokens import ChunkIds, chunks_of
+from wattloom.llm.word_tokens import chunk_ids, chunks_of
 
 #: Pre-tokens whose counts are broadcast, and the longest of them in bytes: at most 16 MB of text.
 FREQUENT, FREQUENT_BYTES = 1 << 18, 64
@@ -64,7 +64,7 @@ def counted_pretokens(tokens: DataFrame, tokenizer: str) -> DataFrame:
     """token, n and the pieces that one such pre-token becomes."""
 
     def run(batches):
-        encoder = ChunkIds(tokenizer)
+        encoder = chunk_ids(tokenizer)
         for b in batches:
             pieces = [len(ids) for ids in encoder.encode(b.column(0).to_pylist())] if b.num_rows else []
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(pieces, pa.int64())], ["token", "n", "pieces"])
