@@ -16,6 +16,12 @@ c = F.col
 _TIME = r"^\s*\d{4}-\d{2}-\d{2}[T ]\d{2}:\d{2}(:\d{2}(\.\d{1,6})?)?(Z|[+-]\d{2}:?\d{2})?\s*$"
 
 
+def settled(df: DataFrame, *names: str) -> DataFrame:
+    """df with these columns worked out once: the optimiser doesn't copy their expressions into each later use."""
+    rest = [x for x in df.columns if x not in names]
+    return df.select(*rest, F.explode(F.array(F.struct(*names))).alias("settled")).select(*rest, *(c(f"settled.{x}").alias(x) for x in names))
+
+
 def _get(path: str, kind: str = "variant") -> Column:
     return F.try_variant_get("body", path, kind)
 
@@ -43,17 +49,16 @@ def _not_text(field: str) -> Column:
     return F.when(text.isNull() | text.rlike(r"^\s*$"), F.lit(f"{field} must be a non-empty string"))
 
 
-def _payload_error() -> Column:
-    keys, out = F.json_object_keys(F.to_json(_get("$.payload"))), F.lit(None).cast("string")
-    by_type = F.col("event_type")
-    for kind in EVENT_TYPES:
-        needed, optional = PAYLOAD_FIELDS[kind]
-        missing = F.array_sort(F.array_except(F.array(*map(F.lit, needed)), keys))
-        extra = F.array_sort(F.array_except(keys, F.array(*map(F.lit, needed + optional))))
-        wrong = F.array_compact(F.array(*(F.when(~F.coalesce(_value_fits(f), F.lit(True)), F.lit(f)) for f in needed + optional)))
-        message = F.when(F.size(missing) > 0, F.concat(F.lit("missing "), F.array_join(missing, ", "))).when(F.size(extra) > 0, F.concat(F.lit("unexpected "), F.array_join(extra, ", "))).when(F.size(wrong) > 0, F.concat(F.lit("wrong type of "), F.array_join(wrong, ", ")))
-        out = F.when(by_type == kind, F.concat(F.lit(f"Invalid payload for {kind}: "), message)).otherwise(out)
-    return out
+def _by_type(which) -> Column:
+    """The payload fields that a type needs (or may have), looked up in a literal map."""
+    return F.create_map(*(x for kind in EVENT_TYPES for x in (F.lit(kind), F.array(*map(F.lit, which(*PAYLOAD_FIELDS[kind]))))))[c("event_type")]
+
+
+def _payload_errors() -> list[Column]:
+    keys, start = F.json_object_keys(F.to_json(_get("$.payload"))), F.concat(F.lit("Invalid payload for "), "event_type")
+    missing, extra = F.array_except(_by_type(lambda needed, optional: needed), keys), F.array_except(keys, _by_type(lambda needed, optional: needed + optional))
+    wrong = F.array_compact(F.array(*(F.when(~_value_fits(f), F.lit(f)) for f in (*TEXT_FIELDS, *NUMBER_FIELDS, "recoverable"))))
+    return [F.when(F.size(x) > 0, F.concat(start, F.lit(text), F.array_join(F.array_sort(x), ", "))) for x, text in ((missing, ": missing "), (extra, ": unexpected "), (wrong, ": wrong type of "))]
 
 
 def _value_fits(field: str) -> Column:
@@ -70,7 +75,7 @@ def parsed(log: DataFrame) -> DataFrame:
     raw = c("value")
     text = F.make_valid_utf8(raw.cast("string"))
     base = log.withColumn("text", text).withColumn("whole", F.try_parse_json(F.concat(F.lit("["), F.col("text"), F.lit("]"))))
-    base = base.withColumn("body", F.when(F.try_variant_get("whole", "$[1]", "variant").isNull(), F.try_variant_get("whole", "$[0]", "variant")))
+    base = settled(settled(base, "text", "whole").withColumn("body", F.when(F.try_variant_get("whole", "$[1]", "variant").isNull(), F.try_variant_get("whole", "$[0]", "variant"))), "body")
     parse_error = (
         F.when(raw.isNull(), "empty_message")
         .when(~F.is_valid_utf8(raw.cast("string")), "malformed_utf8")
@@ -79,12 +84,14 @@ def parsed(log: DataFrame) -> DataFrame:
         .when(~F.schema_of_variant("body").startswith("OBJECT"), "event_must_be_json_object")
     )
     base = base.drop("whole").withColumn("parse_error", parse_error).withColumn("event_type", F.when(parse_error.isNull(), _text("$.event_type")))
+    base = settled(base, "parse_error", "event_type")
     keys = F.json_object_keys("text")
     missing = F.array_except(F.array(*map(F.lit, REQUIRED_FIELDS)), keys)
     bad_time = lambda f: F.when(timestamp(_text(f"$.{f}")).isNull(), F.concat(F.lit(f"Invalid timestamp for {f}: "), _text(f"$.{f}")))
     sequence, session = _kind("$.sequence_no"), _kind("$.session_id")
     of = lambda f: F.when(~F.coalesce((k := _kind(f"$.location.{f}")).startswith("DECIMAL") | k.isin("BIGINT", "DOUBLE", "BOOLEAN", "VOID"), F.lit(True)), F.lit(f"location.{f} must be numeric when present"))
-    schema_error = F.coalesce(
+    # All checks in the order in which they count; what isn't there breaks none, so only the first is reported.
+    schema_errors = F.array(
         F.when(F.size(missing) > 0, F.concat(F.lit("Missing required fields: "), F.array_join(missing, ", "))),
         _not_text("event_id"),
         _not_text("event_type"),
@@ -98,13 +105,13 @@ def parsed(log: DataFrame) -> DataFrame:
         F.when(sequence != "BIGINT", F.lit("sequence_no must be an integer")),
         F.when(_get("$.sequence_no", "bigint") < 0, F.lit("sequence_no must be non-negative")),
         F.when(~_kind("$.payload").startswith("OBJECT"), F.lit("payload must be an object")),
-        _payload_error(),
+        *_payload_errors(),
         F.when(~_kind("$.location").startswith("OBJECT"), F.lit("location must be an object")),
         of("latitude"),
         of("longitude"),
     )
-    reason = F.when(c("parse_error").isNotNull(), c("parse_error")).otherwise(schema_error)
-    out = base.withColumn("error_reason", reason).drop("parse_error")
+    checked = base.withColumn("errors", F.array_compact(F.concat(F.array("parse_error"), F.when(c("parse_error").isNull(), schema_errors).otherwise(F.array(F.lit(None).cast("string"))))))
+    out = settled(checked, "errors").withColumn("error_reason", F.get("errors", F.lit(0))).drop("parse_error", "errors")
     return out.withColumn("error_class", F.when(c("error_reason").isin(*PARSE_REASONS), "parse").when(c("error_reason").isNotNull(), "schema"))
 
 

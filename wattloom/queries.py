@@ -73,7 +73,7 @@ def _spoilt(t: Telemetry) -> DataFrame:
         .when(k == 11, put("operator_id", '"  "').cast("binary")).when(k == 12, put("session_id", "7").cast("binary")).when(k == 13, F.concat(text, F.lit(" x")).cast("binary")).when(k == 14, F.regexp_replace(text, r'"payload":\{.*\}\}$', '"payload":3}').cast("binary")).when(k == 15, F.regexp_replace(text, r'"payload":\{', '"payload":{"surprise":1,').cast("binary"))
         .when(k == 16, put("sequence_no", "true").cast("binary")).when(k == 17, F.regexp_replace(text, r'"location":\{[^}]*\}', '"location":5').cast("binary")).otherwise(c("value"))
     )
-    return parse.parsed(log.withColumn("value", broken))
+    return parse.parsed(parse.settled(parse.settled(log, "value").withColumn("value", broken), "value"))
 
 
 _SPOILT = over(ARRIVALS + """,
