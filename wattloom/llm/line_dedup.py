@@ -96,9 +96,8 @@ def _able(x: Column, y: Column, percent: int) -> Column:
     return (nx == 0) | (ny == 0) | fits
 
 
-def verified(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
-    """cls of each line x in pairs(x, y) that is similar enough to y and comes after it."""
-    pairs = saved(pairs.distinct())
+def _confirmed(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
+    """cls of each line x in pairs(x, y) that is similar enough to y and comes after it, on the words themselves."""
     ids = pairs.select(F.col("x").alias("cls")).union(pairs.select("y")).distinct()
     if ids.count() <= BROADCAST_IDS:
         ids = F.broadcast(ids)
@@ -106,7 +105,17 @@ def verified(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
     of = lambda a: lines.select(F.col("cls").alias(a), F.col("at").alias(f"{a}at"), F.col("line").alias(f"{a}line"))
     both = pairs.join(of("x"), "x").join(of("y"), "y").where("yat < xat").select("x", words_of(F.col("xline")).alias("xw"), words_of(F.col("yline")).alias("yw"))
     common = F.size(F.array_intersect("xw", "yw"))
-    found = saved(both.where((100 + percent) * common >= percent * (F.size("xw") + F.size("yw"))).select(F.col("x").alias("cls")).distinct())
+    return saved(both.where((100 + percent) * common >= percent * (F.size("xw") + F.size("yw"))).select(F.col("x").alias("cls")).distinct())
+
+
+def verified(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
+    """cls of each line x in pairs(x, y) that is similar to some y before it. The y that x meets in most
+    lists is tried first, and only lines that it doesn't settle are held against all of theirs."""
+    pairs = saved(pairs.groupBy("x", "y").agg(F.count("*").alias("n")))
+    first = pairs.groupBy("x").agg(F.max_by("y", "n").alias("y"))
+    settled = _confirmed(first, classes, percent)
+    rest = pairs.select("x", "y").join(settled.select(F.col("cls").alias("x")), "x", "left_anti")
+    found = settled.union(_confirmed(rest, classes, percent))
     discard(pairs)
     return found
 
@@ -119,14 +128,18 @@ def similar_lines(classes: DataFrame, percent: int) -> DataFrame:
     bare = F.when(common, F.col("token").bitwiseAND(F.bitwise_not(low))).otherwise(F.col("token"))
     salted = posts.withColumn("token", F.when(common, bare.bitwiseOR(F.col("cls").bitwiseAND(low))).otherwise(F.col("token")))
     own = Window.partitionBy("token").orderBy("doc", "cls")
-    listed = salted.withColumn("head", F.first(F.struct("cls", "m")).over(own.rowsBetween(Window.unboundedPreceding, 0))).withColumn("nth", F.row_number().over(own)).withColumn("next", F.lead("doc").over(own))
-    listed = listed.where((F.col("nth") > 1) | F.col("next").isNotNull() | common)
-    later = (F.col("nth") > 2) | common | F.coalesce(F.col("next") == F.col("doc"), F.lit(False))
-    star = (F.col("nth") > 1) & _able(F.col("m"), F.col("head.m"), percent)
-    shared = saved(listed.select(bare.alias("token"), "cls", "doc", "m", later.alias("later"), F.when(star, F.col("head.cls")).alias("head")))
+    listed = salted.withColumn("head", F.first(F.struct("cls", "m")).over(own.rowsBetween(Window.unboundedPreceding, 0))).withColumn("nth", F.row_number().over(own))
+    listed = listed.withColumn("next", F.lead(F.struct("cls", "m", "doc")).over(own)).withColumn("third", F.lead("doc", 2).over(own))
+    # Lists of two lines are done with their one pair; within a document either line may be the later one.
+    whole = common | (F.col("nth") > 2) | (F.col("nth") == 2) & F.col("next").isNotNull() | (F.col("nth") == 1) & F.col("third").isNotNull()
+    tied = F.coalesce(F.col("next.doc") == F.col("doc"), F.lit(False))
+    star = F.when((F.col("nth") > 1) & _able(F.col("m"), F.col("head.m"), percent), F.col("head.cls")).when((F.col("nth") == 1) & tied & _able(F.col("m"), F.col("next.m"), percent), F.col("next.cls"))
+    listed = listed.select(bare.alias("token"), "cls", "doc", "m", whole.alias("whole"), ((F.col("nth") > 2) | common | tied).alias("later"), star.alias("head"))
+    shared = saved(listed.where("whole or head is not null"))
     settled = verified(shared.where("head is not null").select(F.col("cls").alias("x"), F.col("head").alias("y")), classes, percent)
-    slim = shared.select("token", "cls", "doc", "m")
-    rest = shared.where("later").select(slim.columns).join(settled, "cls", "left_anti")
+    slim = shared.where("whole").select("token", "cls", "doc", "m")
+    done = F.broadcast(settled) if settled.count() <= BROADCAST_IDS else settled
+    rest = shared.where("whole and later").select(slim.columns).join(done, "cls", "left_anti")
     met = rest.alias("x").join(slim.alias("y"), (F.col("x.token") == F.col("y.token")) & (F.col("y.doc") <= F.col("x.doc")) & (F.col("x.cls") != F.col("y.cls")) & _able(F.col("x.m"), F.col("y.m"), percent))
     more = verified(met.select(F.col("x.cls").alias("x"), F.col("y.cls").alias("y")), classes, percent)
     discard(shared)
