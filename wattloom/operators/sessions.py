@@ -91,7 +91,7 @@ def snapshots(verdicts: DataFrame) -> DataFrame:
 def finalized(snapshot: DataFrame, as_of: Column, timeout: int = INACTIVITY_TIMEOUT) -> DataFrame:
     """Closed sessions, and those whose last event is `timeout` seconds or more before as_of."""
     idle = c("finalized_reason").isNull() & (c("last_event_time") <= as_of - seconds(F.lit(max(1, timeout))))
-    expired = snapshot.withColumn("finalized_reason", F.when(idle, "inactivity_timeout").otherwise(c("finalized_reason"))).withColumn("stop_reason", F.when(idle, "inactivity_timeout").otherwise(c("stop_reason")))
+    expired = snapshot.withColumns({x: F.when(idle, "inactivity_timeout").otherwise(c(x)) for x in ("finalized_reason", "stop_reason")})
     return expired.where("finalized_reason is not null")
 
 

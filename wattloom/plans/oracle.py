@@ -96,7 +96,7 @@ agg_operator_hour AS (SELECT bucket_hour, operator_id, round(sum(energy), 6) AS
   UNION ALL SELECT date_trunc('hour', event_time), operator_id, station_id, 0, 0, 0, 0, 1, NULL FROM raw_events WHERE event_type = 'FAULT_ALERT') GROUP BY bucket_hour, operator_id),
 faults AS (SELECT CAST(event_time AS DATE) AS bucket_day, operator_id, coalesce(nullif(country, ''), 'unknown') AS country_code, coalesce(nullif(city, ''), 'unknown') AS city, station_id, coalesce(nullif(fault_code, ''), 'unknown') AS code FROM raw_events WHERE event_type = 'FAULT_ALERT'),
 agg_city_day_faults AS (SELECT f.bucket_day, f.operator_id, f.country_code, f.city, count(*) AS fault_count, count(DISTINCT station_id) AS distinct_station_count, any_value(m.code) AS most_common_fault_code FROM faults f
-  JOIN (SELECT bucket_day, operator_id, country_code, city, code, row_number() OVER (PARTITION BY bucket_day, operator_id, country_code, city ORDER BY count(*) DESC, code DESC) AS r FROM faults GROUP BY ALL) m ON m.r = 1 AND m.bucket_day = f.bucket_day AND m.operator_id = f.operator_id AND m.country_code = f.country_code AND m.city = f.city GROUP BY f.bucket_day, f.operator_id, f.country_code, f.city)"""
+  JOIN (SELECT bucket_day, operator_id, country_code, city, code, row_number() OVER (PARTITION BY bucket_day, operator_id, country_code, city ORDER BY n DESC, code DESC) AS r FROM (SELECT bucket_day, operator_id, country_code, city, code, count(*) AS n FROM faults GROUP BY bucket_day, operator_id, country_code, city, code)) m ON m.r = 1 AND m.bucket_day = f.bucket_day AND m.operator_id = f.operator_id AND m.country_code = f.country_code AND m.city = f.city GROUP BY f.bucket_day, f.operator_id, f.country_code, f.city)"""
 
 
 def over(ctes: str, select: str) -> str:
