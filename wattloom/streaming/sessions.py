@@ -12,8 +12,13 @@ from pyspark.sql.streaming import StatefulProcessor
 
 from wattloom.functions.schema import DEFAULT_TARIFF, DEFAULT_TARIFF_ID, INACTIVITY_TIMEOUT
 
-STATE = T.StructType.fromDDL("operator_id string, station_id string, connector_id string, city string, country string, started_us long, last_us long, start_event_id string, last_sequence_no long, meters long, energy double, power_sum double, power_samples long, power_max double, brand string, tariff_id string, tariff double, epoch long")
-OUTPUT = T.StructType.fromDDL("session_id string, kind string, event_id string, error_reason string, epoch long, operator_id string, station_id string, connector_id string, city string, country string, started_us long, last_event_us long, start_event_id string, stop_event_id string, vehicle_brand string, tariff_id string, tariff double, meter_update_count long, energy double, power_sum double, power_samples long, power_max double, stop_reason string, finalized_reason string")
+def _struct(ddl: str) -> T.StructType:
+    kinds = {"string": T.StringType, "long": T.LongType, "double": T.DoubleType}
+    return T.StructType([T.StructField(name, kinds[kind]()) for name, kind in (x.split() for x in ddl.split(", "))])
+
+
+STATE = _struct("operator_id string, station_id string, connector_id string, city string, country string, started_us long, last_us long, start_event_id string, last_sequence_no long, meters long, energy double, power_sum double, power_samples long, power_max double, brand string, tariff_id string, tariff double, epoch long")
+OUTPUT = _struct("session_id string, kind string, event_id string, error_reason string, epoch long, operator_id string, station_id string, connector_id string, city string, country string, started_us long, last_event_us long, start_event_id string, stop_event_id string, vehicle_brand string, tariff_id string, tariff double, meter_update_count long, energy double, power_sum double, power_samples long, power_max double, stop_reason string, finalized_reason string")
 _FIELDS = [f.name for f in STATE]
 
 
@@ -75,7 +80,7 @@ class SessionProcessor(StatefulProcessor):
     def init(self, handle):
         self.handle = handle
         self.state = handle.getValueState("session", STATE)
-        self.epochs = handle.getValueState("epochs", T.StructType.fromDDL("n long"))
+        self.epochs = handle.getValueState("epochs", _struct("n long"))
 
     def _rearm(self, last_us: int | None) -> None:
         for t in list(self.handle.listTimers()):
