@@ -1,6 +1,6 @@
 """The analytical queries, as SQL with a named parameter as_of for the present.
 
-Each reads views of the fact and rollup tables. NULLS LAST and tie-breaking keys make limits well
+Each reads views of the fact and rollup tables. Sums are rounded to 6 places first: the order of a sum mustn't show. NULLS LAST and tie-breaking keys make limits well
 defined; empty conditional sums are 0. The fault query names the day column as the table does.
 """
 
@@ -15,8 +15,8 @@ QUERIES = {
         SELECT round(100.0 * coalesce(sum(CASE WHEN hr IN (7, 8, 17, 18, 19) THEN r END), 0) / nullif(sum(r), 0), 2) AS peak_hour_revenue_contribution_pct,
                round(coalesce(sum(CASE WHEN hr IN (7, 8, 17, 18, 19) THEN r END), 0), 2) AS peak_hour_revenue_eur, round(coalesce(sum(r), 0), 2) AS total_revenue_eur FROM base""",
     "q2_revenue_by_tariff_hour": """
-        SELECT CAST(date_trunc('hour', session_start_time) AS {naive}) AS hour_bucket, tariff_id, count(*) AS sessions, round(sum(energy_kwh_total), 2) AS energy_kwh, round(sum(revenue_eur_total), 2) AS revenue_eur,
-               round(avg(revenue_eur_total), 2) AS avg_revenue_per_session, round(sum(revenue_eur_total) / nullif(sum(energy_kwh_total), 0), 4) AS revenue_per_kwh
+        SELECT CAST(date_trunc('hour', session_start_time) AS {naive}) AS hour_bucket, tariff_id, count(*) AS sessions, round(round(sum(energy_kwh_total), 6), 2) AS energy_kwh, round(round(sum(revenue_eur_total), 6), 2) AS revenue_eur,
+               round(round(avg(revenue_eur_total), 6), 2) AS avg_revenue_per_session, round(round(sum(revenue_eur_total) / nullif(sum(energy_kwh_total), 0), 8), 4) AS revenue_per_kwh
         FROM fact_sessions WHERE session_start_time >= {as_of} - INTERVAL '7' DAY GROUP BY 1, 2 ORDER BY 1, 2""",
     "q3_fleet_power_anomaly": """
         WITH stats AS (SELECT avg(avg_power_kw) AS m, stddev_pop(avg_power_kw) AS s FROM fact_sessions WHERE avg_power_kw IS NOT NULL AND session_start_time >= {as_of} - INTERVAL '30' DAY)
