@@ -8,8 +8,8 @@ survivors are verified on their words. Each line first meets the earliest line o
 and only lines which that doesn't settle meet whole lists, so that groups of copies aren't paired off.
 The positional filter is joined by a parity filter: 32 bits a line that differ in no more places than
 the word sets do.
-Rarity is the logarithm of a word's count, counted in 2**18 buckets of word hashes over all lines:
-any order is exact, as long as all lines share it, and this one has a fixed size.
+Rarity is the logarithm of a word's count, counted in 2**18 buckets of word hashes over all lines, then
+the word's length, longest first: any order is exact, as long as all lines share it, and this one has a fixed size.
 Defined results: null text has no lines and stays null; shorter and empty lines stay; rows alike in
 doc_id and text count as one document and come out alike; rows without doc_id come last; an empty
 table gives no rows; all other columns are carried through untouched.
@@ -62,20 +62,26 @@ def distinct_lines(docs: DataFrame, words: int) -> DataFrame:
 
 def rarity(classes: DataFrame) -> Column:
     """The rarity of each bucket of word hashes as an array, 0 for the rarest: two steps a doubling of the count."""
-    words = classes.select(F.explode(raw_words(F.col("line"))).alias("word")).select(F.pmod(F.xxhash64("word"), F.lit(BUCKETS)).cast("int").alias("bucket"), F.lit(1).alias("n"))
+    words = classes.select(F.explode(raw_words(F.col("line"))).alias("word")).select(F.shiftrightunsigned(F.xxhash64("word"), 6).bitwiseAND(F.lit(BUCKETS - 1)).cast("int").alias("bucket"), F.lit(1).alias("n"))
     counts = words.groupBy("bucket").agg(F.sum("n").alias("n")).select("bucket", F.least(F.lit(63), F.floor(2 * F.log2(F.col("n") + 1))).cast("int").alias("level")).toArrow()
     levels = [0] * BUCKETS
     for bucket, level in zip(counts.column(0).to_pylist(), counts.column(1).to_pylist()):
         levels[bucket] = level
+    # What a bucket of rare words holds by chance says nothing about one of them: there, length decides.
+    floor = sorted(levels)[BUCKETS // 2] + 1
+    levels = [max(x, floor) for x in levels]
     return F.expr(f"cast(split('{','.join(map(str, levels))}', ',') as array<tinyint>)")
 
 
 def postings(classes: DataFrame, levels: Column, percent: int) -> DataFrame:
     """token, cls, doc and m (a packed line: _unpacked) for every prefix token."""
-    hashes = classes.select("cls", "doc", F.array_distinct(F.transform(raw_words(F.col("line")), lambda w: F.xxhash64(w))).alias("h"))
-    pack = lambda h: F.shiftleft(F.element_at(levels, (F.pmod(h, F.lit(BUCKETS)) + 1).cast("int")).cast("bigint"), 57).bitwiseOR(F.shiftrightunsigned(h, 7))
+    # A word's code: 58 bits of its hash, and how far its length is from 63.
+    code = lambda w: F.xxhash64(w).bitwiseAND(F.lit(-64)).bitwiseOR(F.lit(63).cast("bigint") - F.least(F.length(w), F.lit(63)))
+    hashes = classes.select("cls", "doc", F.array_distinct(F.transform(raw_words(F.col("line")), code)).alias("h"))
+    level = lambda h: F.element_at(levels, (F.shiftrightunsigned(h, 6).bitwiseAND(F.lit(BUCKETS - 1)) + 1).cast("int")).cast("bigint")
+    pack = lambda h: F.shiftleft(level(h), 57).bitwiseOR(F.shiftleft(h.bitwiseAND(F.lit(63)), 51)).bitwiseOR(F.shiftrightunsigned(h, 13))
     # For each of 32 classes of words, the parity of the line's words in it: two lines differ in no more bits than in words.
-    bits = F.aggregate("h", F.lit(0).cast("bigint"), lambda b, h: b.bitwiseXOR(F.call_function("shiftleft", F.lit(1).cast("bigint"), h.bitwiseAND(F.lit(31)).cast("int"))))
+    bits = F.aggregate("h", F.lit(0).cast("bigint"), lambda b, h: b.bitwiseXOR(F.call_function("shiftleft", F.lit(1).cast("bigint"), F.shiftrightunsigned(h, 6).bitwiseAND(F.lit(31)).cast("int"))))
     held = hashes.select("cls", "doc", F.size("h").alias("n"), bits.alias("bits"), F.sort_array(F.transform("h", pack)).alias("tokens"))
     prefix = F.col("n") - F.floor((percent * F.col("n") + 99) / 100).cast("int") + 1
     rows = held.select("cls", "doc", "n", "bits", F.posexplode(F.slice("tokens", F.lit(1), prefix)).alias("place", "token"))
