@@ -6,7 +6,7 @@ aggregate. For the others each distinct line orders its words by rarity, takes t
 similar lines cannot both miss, and meets other lines there under length and positional filters;
 survivors are verified on their words. Each line first meets the earliest line of each of its lists,
 and only lines which that doesn't settle meet whole lists, so that groups of copies aren't paired off.
-The positional filter is joined by a parity filter: 32 bits a line that differ in no more places than
+The positional filter is joined by a parity filter: 64 bits a line that differ in no more places than
 the word sets do.
 Rarity is the logarithm of a word's count, counted in 2**18 buckets of word hashes over all lines, then
 the word's length, longest first: any order is exact, as long as all lines share it, and this one has a fixed size.
@@ -74,32 +74,25 @@ def rarity(classes: DataFrame) -> Column:
 
 
 def postings(classes: DataFrame, levels: Column, percent: int) -> DataFrame:
-    """token, cls, doc and m (a packed line: _unpacked) for every prefix token."""
+    """token, cls, doc and line (sizes and parity: _able) for every prefix token."""
     # A word's code: 58 bits of its hash, and how far its length is from 63.
     code = lambda w: F.xxhash64(w).bitwiseAND(F.lit(-64)).bitwiseOR(F.lit(63).cast("bigint") - F.least(F.length(w), F.lit(63)))
     hashes = classes.select("cls", "doc", F.array_distinct(F.transform(raw_words(F.col("line")), code)).alias("h"))
     level = lambda h: F.element_at(levels, (F.shiftrightunsigned(h, 6).bitwiseAND(F.lit(BUCKETS - 1)) + 1).cast("int")).cast("bigint")
     pack = lambda h: F.shiftleft(level(h), 57).bitwiseOR(F.shiftleft(h.bitwiseAND(F.lit(63)), 51)).bitwiseOR(F.shiftrightunsigned(h, 13))
-    # For each of 32 classes of words, the parity of the line's words in it: two lines differ in no more bits than in words.
-    bits = F.aggregate("h", F.lit(0).cast("bigint"), lambda b, h: b.bitwiseXOR(F.call_function("shiftleft", F.lit(1).cast("bigint"), F.shiftrightunsigned(h, 6).bitwiseAND(F.lit(31)).cast("int"))))
+    # For each of 64 classes of words, the parity of the line's words in it: two lines differ in no more bits than in words.
+    bits = F.aggregate("h", F.lit(0).cast("bigint"), lambda b, h: b.bitwiseXOR(F.call_function("shiftleft", F.lit(1).cast("bigint"), F.shiftrightunsigned(h, 6).bitwiseAND(F.lit(63)).cast("int"))))
     held = hashes.select("cls", "doc", F.size("h").alias("n"), bits.alias("bits"), F.sort_array(F.transform("h", pack)).alias("tokens"))
     prefix = F.col("n") - F.floor((percent * F.col("n") + 99) / 100).cast("int") + 1
     rows = held.select("cls", "doc", "n", "bits", F.posexplode(F.slice("tokens", F.lit(1), prefix)).alias("place", "token"))
-    sizes = F.when(F.col("n") < 1 << 15, F.shiftleft(F.col("n").cast("bigint"), 16).bitwiseOR(F.col("place").cast("bigint"))).otherwise(F.lit(0).cast("bigint"))
-    return rows.select("token", "cls", "doc", F.shiftleft("bits", 32).bitwiseOR(sizes).alias("m"))
+    return rows.select("token", "cls", "doc", F.struct("n", "place", "bits").alias("line"))
 
 
-def _unpacked(m: Column) -> tuple[Column, Column, Column]:
-    """Words of a line (0 if too many to say), place of the token, parity bits."""
-    return F.shiftright(m, 16).bitwiseAND(F.lit(0xFFFF)).cast("int"), m.bitwiseAND(F.lit(0xFFFF)).cast("int"), F.shiftrightunsigned(m, 32)
-
-
-def _able(x: Column, y: Column, percent: int) -> Column:
-    """Length, positional and parity filter for a token of two packed lines."""
-    (nx, px, bx), (ny, py, by) = _unpacked(x), _unpacked(y)
+def _able(x: str, y: str, percent: int) -> Column:
+    """Length, positional and parity filter for a token of two lines."""
+    (nx, px, bx), (ny, py, by) = ([F.col(f"{a}.{f}") for f in ("n", "place", "bits")] for a in (x, y))
     both = percent * (nx + ny)
-    fits = (100 * F.least(nx, ny) >= percent * F.greatest(nx, ny)) & ((100 + percent) * F.least(nx - px, ny - py) >= both) & ((100 + percent) * (nx + ny - F.bit_count(bx.bitwiseXOR(by))) >= 2 * both)
-    return (nx == 0) | (ny == 0) | fits
+    return (100 * F.least(nx, ny) >= percent * F.greatest(nx, ny)) & ((100 + percent) * F.least(nx - px, ny - py) >= both) & ((100 + percent) * (nx + ny - F.bit_count(bx.bitwiseXOR(by))) >= 2 * both)
 
 
 def _confirmed(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
@@ -134,19 +127,19 @@ def similar_lines(classes: DataFrame, percent: int) -> DataFrame:
     bare = F.when(common, F.col("token").bitwiseAND(F.bitwise_not(low))).otherwise(F.col("token"))
     salted = posts.withColumn("token", F.when(common, bare.bitwiseOR(F.col("cls").bitwiseAND(low))).otherwise(F.col("token")))
     own = Window.partitionBy("token").orderBy("doc", "cls")
-    listed = salted.withColumn("head", F.first(F.struct("cls", "m")).over(own.rowsBetween(Window.unboundedPreceding, 0))).withColumn("nth", F.row_number().over(own))
-    listed = listed.withColumn("next", F.lead(F.struct("cls", "m", "doc")).over(own)).withColumn("third", F.lead("doc", 2).over(own))
+    listed = salted.withColumn("head", F.first(F.struct("cls", "line")).over(own.rowsBetween(Window.unboundedPreceding, 0))).withColumn("nth", F.row_number().over(own))
+    listed = listed.withColumn("next", F.lead(F.struct("cls", "line", "doc")).over(own)).withColumn("third", F.lead("doc", 2).over(own))
     # Lists of two lines are done with their one pair; within a document either line may be the later one.
     whole = common | (F.col("nth") > 2) | (F.col("nth") == 2) & F.col("next").isNotNull() | (F.col("nth") == 1) & F.col("third").isNotNull()
     tied = F.coalesce(F.col("next.doc") == F.col("doc"), F.lit(False))
-    star = F.when((F.col("nth") > 1) & _able(F.col("m"), F.col("head.m"), percent), F.col("head.cls")).when((F.col("nth") == 1) & tied & _able(F.col("m"), F.col("next.m"), percent), F.col("next.cls"))
-    listed = listed.select(bare.alias("token"), "cls", "doc", "m", whole.alias("whole"), ((F.col("nth") > 2) | common | tied).alias("later"), star.alias("head"))
+    star = F.when((F.col("nth") > 1) & _able("line", "head.line", percent), F.col("head.cls")).when((F.col("nth") == 1) & tied & _able("line", "next.line", percent), F.col("next.cls"))
+    listed = listed.select(bare.alias("token"), "cls", "doc", "line", whole.alias("whole"), ((F.col("nth") > 2) | common | tied).alias("later"), star.alias("head"))
     shared = saved(listed.where("whole or head is not null"))
     settled = verified(shared.where("head is not null").select(F.col("cls").alias("x"), F.col("head").alias("y")), classes, percent)
-    slim = shared.where("whole").select("token", "cls", "doc", "m")
+    slim = shared.where("whole").select("token", "cls", "doc", "line")
     done = F.broadcast(settled) if settled.count() <= BROADCAST_IDS else settled
     rest = shared.where("whole and later").select(slim.columns).join(done, "cls", "left_anti")
-    met = rest.alias("x").join(slim.alias("y"), (F.col("x.token") == F.col("y.token")) & (F.col("y.doc") <= F.col("x.doc")) & (F.col("x.cls") != F.col("y.cls")) & _able(F.col("x.m"), F.col("y.m"), percent))
+    met = rest.alias("x").join(slim.alias("y"), (F.col("x.token") == F.col("y.token")) & (F.col("y.doc") <= F.col("x.doc")) & (F.col("x.cls") != F.col("y.cls")) & _able("x.line", "y.line", percent))
     more = verified(met.select(F.col("x.cls").alias("x"), F.col("y.cls").alias("y")), classes, percent)
     discard(shared)
     return settled.union(more)
