@@ -168,7 +168,7 @@ register("query_latency_summary", lambda t: metrics.latencies(t.arrivals).groupB
 
 # Generator -------------------------------------------------------------------------------------------
 register_plain("generator_network_shard", lambda spark, _: generator.network(spark, 1200, shard=1, shards=3), "SELECT format('ST-{:04d}', i + 1) AS station_id, 'OP-' || (i % 3) AS operator_id, 'C' || (i % 6) AS city, CAST(j AS VARCHAR) AS connector_id FROM range(1200) a(i), range(1, 3) b(j) WHERE i % 3 = 1")
-register_plain("generator_demand", lambda spark, _: spark.range(24).select(c("id").alias("hour"), F.round(generator.demand(c("id")), 6).alias("multiplier")), f"SELECT i AS hour, round(greatest(0.1::DOUBLE, ([{', '.join(f'{w}::DOUBLE' for w in generator.HOURLY_WEIGHTS)}])[i + 1] * CASE WHEN i >= 7 AND i < 10 THEN 1.25::DOUBLE ELSE 1 END * CASE WHEN i >= 17 AND i < 21 THEN 1.4::DOUBLE ELSE 1 END), 6) AS multiplier FROM range(24) t(i)")
+register_plain("generator_demand", lambda spark, _: spark.range(24).select(c("id").alias("hour"), F.round(generator.demand(c("id")), 6).alias("multiplier")), f"SELECT i AS hour, round(greatest(0.1::DOUBLE, ([{', '.join(f'{w}::DOUBLE' for w in generator.HOURLY_WEIGHTS)}])[i + 1] * CASE WHEN i >= 7 AND i < 10 THEN 1.7::DOUBLE ELSE 1 END * CASE WHEN i >= 17 AND i < 21 THEN 2.0::DOUBLE ELSE 1 END), 6) AS multiplier FROM range(24) t(i)")
 register_plain("generator_burst_target", lambda spark, _: spark.range(300).select(c("id").alias("tick"), generator.burst_target(c("id").cast("double"), 1000.0).alias("target")), "SELECT i AS tick, CASE WHEN i % 60 < 18 THEN 3000.0::DOUBLE ELSE 1000.0::DOUBLE END AS target FROM range(300) t(i)")
 register_plain("generator_weighted_choice", lambda spark, _: spark.range(1000).select(generator.weighted_choice({"a": 1, "b": 3, "c": 0}, (c("id") + 0.5) / 1000).alias("item")).groupBy("item").agg(F.count("*").alias("n")), "SELECT * FROM (VALUES ('a', 250::BIGINT), ('b', 750::BIGINT)) t(item, n)")
 register_plain("generator_events", lambda spark, _: generator.meter_events(generator.sessions(generator.network(spark, 200))))
