@@ -104,13 +104,13 @@ for _name in analytics.QUERIES:
 register("window_tumbling_minute", lambda t: t.raw_events.groupBy(F.window("event_time", "1 minute").alias("w"), "station_id").agg(F.count("*").alias("n")).select(c("w.start").alias("start"), c("w.end").alias("stop"), "station_id", "n"), over(VERDICTS, "SELECT date_trunc('minute', event_time) AS start, date_trunc('minute', event_time) + INTERVAL 1 MINUTE AS stop, station_id, count(*) AS n FROM v WHERE accepted GROUP BY ALL"))
 register("window_session_gap", lambda t: t.raw_events.groupBy(F.session_window("event_time", "1 hour").alias("w"), "connector_id").agg(F.count("*").alias("n"), F.max("event_time").alias("last_time")).select(c("w.start").alias("start"), "connector_id", "n", "last_time"), over(VERDICTS + """,
 g AS (SELECT *, CASE WHEN event_time < lag(event_time) OVER (PARTITION BY connector_id ORDER BY event_time) + INTERVAL 1 HOUR THEN 0 ELSE 1 END AS f FROM v WHERE accepted), h AS (SELECT *, sum(f) OVER (PARTITION BY connector_id ORDER BY event_time ROWS UNBOUNDED PRECEDING) AS no FROM g)""", "SELECT min(event_time) AS start, connector_id, count(*) AS n, max(event_time) AS last_time FROM h GROUP BY connector_id, no"))
-_day = Window.partitionBy("connector_id").orderBy("event_time", "event_no").rowsBetween(-19, 0)
-register("window_rolling_percentile", lambda t: t.arrivals.where("copy = 0 and power_kw is not null").select("event_id", F.round(F.percentile("power_kw", 0.95).over(_day), 6).alias("p95")), over(ARRIVALS, "SELECT event_id, round(quantile_cont(power_kw, 0.95) OVER (PARTITION BY connector_id ORDER BY event_time, event_no ROWS BETWEEN 19 PRECEDING AND CURRENT ROW), 6) AS p95 FROM arr WHERE copy = 0 AND power_kw IS NOT NULL"))
-_span = Window.partitionBy("station_id").orderBy(F.unix_micros("event_time")).rangeBetween(-30_000_000, 0)
-register("window_sliding_event_rate", lambda t: t.arrivals.where("copy = 0").select("event_id", F.round(F.count("*").over(_span) / 30.0, 6).alias("rate")), over(ARRIVALS, "SELECT event_id, round(count(*) OVER (PARTITION BY station_id ORDER BY event_time RANGE BETWEEN INTERVAL 30 SECOND PRECEDING AND CURRENT ROW) / 30.0::DOUBLE, 6) AS rate FROM arr WHERE copy = 0"))
+_day = lambda: Window.partitionBy("connector_id").orderBy("event_time", "event_no").rowsBetween(-19, 0)
+register("window_rolling_percentile", lambda t: t.arrivals.where("copy = 0 and power_kw is not null").select("event_id", F.round(F.percentile("power_kw", 0.95).over(_day()), 6).alias("p95")), over(ARRIVALS, "SELECT event_id, round(quantile_cont(power_kw, 0.95) OVER (PARTITION BY connector_id ORDER BY event_time, event_no ROWS BETWEEN 19 PRECEDING AND CURRENT ROW), 6) AS p95 FROM arr WHERE copy = 0 AND power_kw IS NOT NULL"))
+_span = lambda: Window.partitionBy("station_id").orderBy(F.unix_micros("event_time")).rangeBetween(-30_000_000, 0)
+register("window_sliding_event_rate", lambda t: t.arrivals.where("copy = 0").select("event_id", F.round(F.count("*").over(_span()) / 30.0, 6).alias("rate")), over(ARRIVALS, "SELECT event_id, round(count(*) OVER (PARTITION BY station_id ORDER BY event_time RANGE BETWEEN INTERVAL 30 SECOND PRECEDING AND CURRENT ROW) / 30.0::DOUBLE, 6) AS rate FROM arr WHERE copy = 0"))
 register("latest_event_by_station", lambda t: t.arrivals.groupBy("station_id").agg(F.max_by(F.struct("event_id", "event_type"), F.struct(F.unix_millis("event_time"), "event_no", "copy")).alias("r")).select("station_id", "r.event_id", "r.event_type"), over(ARRIVALS, "SELECT station_id, event_id, event_type FROM (SELECT *, row_number() OVER (PARTITION BY station_id ORDER BY epoch_ms(event_time) DESC, event_no DESC, copy DESC) AS r FROM arr) WHERE r = 1"))
-_before = Window.partitionBy("connector_id").orderBy("event_time", "event_no").rowsBetween(Window.unboundedPreceding, -1)
-register("running_max_sequence", lambda t: t.arrivals.where("copy = 0").select("event_id", F.max("sequence_no").over(_before).alias("last_sequence_no")), over(ARRIVALS, "SELECT event_id, max(sequence_no) OVER (PARTITION BY connector_id ORDER BY event_time, event_no ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS last_sequence_no FROM arr WHERE copy = 0"))
+_before = lambda: Window.partitionBy("connector_id").orderBy("event_time", "event_no").rowsBetween(Window.unboundedPreceding, -1)
+register("running_max_sequence", lambda t: t.arrivals.where("copy = 0").select("event_id", F.max("sequence_no").over(_before()).alias("last_sequence_no")), over(ARRIVALS, "SELECT event_id, max(sequence_no) OVER (PARTITION BY connector_id ORDER BY event_time, event_no ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS last_sequence_no FROM arr WHERE copy = 0"))
 register("percentiles_by_type", lambda t: metrics.latencies(t.arrivals).groupBy("event_type").agg(*(F.round(metrics.percentile("end_to_end_ms", p), 6).alias(f"p{p}") for p in (50, 95, 99))), over(ARRIVALS, "SELECT event_type, round(quantile_cont(x, 0.5), 6) AS p50, round(quantile_cont(x, 0.95), 6) AS p95, round(quantile_cont(x, 0.99), 6) AS p99 FROM (SELECT event_type, 1000.0::DOUBLE + greatest(0, (epoch_us(received_at) - epoch_us(ingest_time)) / 1000.0::DOUBLE) AS x FROM arr) GROUP BY event_type"))
 register("top_energy_updates", lambda t: t.arrivals.where("copy = 0 and energy_delta_kwh is not null").select("event_id", "energy_delta_kwh").orderBy(F.desc("energy_delta_kwh"), "event_no").limit(50), over(ARRIVALS, "SELECT event_id, energy_delta_kwh FROM arr WHERE copy = 0 AND energy_delta_kwh IS NOT NULL ORDER BY energy_delta_kwh DESC, event_no LIMIT 50"))
 register("last_or_percentile", lambda t: t.arrivals.groupBy("station_id").agg(F.max_by("power_kw", F.when(c("power_kw").isNotNull(), F.struct("event_time", "event_no"))).alias("latest"), metrics.percentile("power_kw", 95).alias("p")).select("station_id", F.round(F.when(c("latest") > 0, c("latest")).otherwise(c("p")), 6).alias("value")), over(ARRIVALS, "SELECT station_id, round(CASE WHEN latest > 0 THEN latest ELSE p END, 6) AS value FROM (SELECT station_id, arg_max(power_kw, (event_time, event_no)) FILTER (power_kw IS NOT NULL) AS latest, coalesce(quantile_cont(power_kw, 0.95), 0) AS p FROM arr GROUP BY station_id)"))
