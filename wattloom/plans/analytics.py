@@ -47,13 +47,15 @@ QUERIES = {
     "b5_fault_density_by_city": """
         SELECT bucket_day, operator_id, city, country_code, fault_count, distinct_station_count FROM agg_city_day_faults WHERE bucket_day >= CAST({as_of} AS DATE) - INTERVAL '30' DAY ORDER BY bucket_day DESC, fault_count DESC, operator_id, country_code, city LIMIT 5000""",
     "b6_anomaly_spikes": """
+        SELECT station_id, max(events_total) AS max_events_minute, round(avg(events_total), 6) AS avg_events_minute FROM agg_station_minute WHERE bucket_minute >= {as_of} - INTERVAL '3' DAY GROUP BY station_id HAVING max(events_total) > avg(events_total) * 4 ORDER BY max_events_minute DESC, station_id LIMIT 1000""",
+    "b6_anomaly_spikes_wide": """
         SELECT station_id, max(events_total) AS max_events_minute, round(avg(events_total), 6) AS avg_events_minute FROM agg_station_minute WHERE bucket_minute >= {as_of} - INTERVAL '30' DAY GROUP BY station_id HAVING max(events_total) > avg(events_total) * {spike} ORDER BY max_events_minute DESC, station_id LIMIT 1000""",
     "b7_table_counts": """
         SELECT 'raw_events' AS table_name, count(*) AS n FROM raw_events UNION ALL SELECT 'fact_sessions', count(*) FROM fact_sessions UNION ALL SELECT 'agg_station_minute', count(*) FROM agg_station_minute
         UNION ALL SELECT 'agg_operator_hour', count(*) FROM agg_operator_hour UNION ALL SELECT 'agg_city_day_faults', count(*) FROM agg_city_day_faults""",
     "b8_events_by_type": "SELECT event_type, count(*) AS n FROM raw_events GROUP BY event_type",
 }
-#: A burst over the average; 4 in production, less on the sparse test table so that rows come out.
+#: The burst over the average that the wide form looks for, so that rows come out of a sparse table.
 SPIKE = 1.2
 
 
