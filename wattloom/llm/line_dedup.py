@@ -3,12 +3,12 @@
 A line of at least `words` words is removed if an earlier line (by doc_id, then place in the text)
 is equal to it or has a word set of Jaccard similarity `percent` or more. Equal lines meet in an
 aggregate. For the others each distinct line orders its words by rarity, takes the prefix that two
-similar lines cannot both miss, and meets other lines there under length and positional filters;
+similar lines cannot both miss, less the words seen once in all, and meets other lines there under length and positional filters;
 survivors are verified on their words. Each line first meets the earliest line of each of its lists,
 and only lines which that doesn't settle meet whole lists, so that groups of copies aren't paired off.
 The positional filter is joined by a parity filter: 64 bits a line that differ in no more places than
 the word sets do.
-Rarity is the logarithm of a word's count, counted in 2**18 buckets of word hashes over all lines, then
+Rarity is the logarithm of a word's count, counted in 2**22 buckets of word hashes over all lines, then
 the word's length, longest first: any order is exact, as long as all lines share it, and this one has a fixed size.
 Defined results: null text has no lines and stays null; shorter and empty lines stay; rows alike in
 doc_id and text count as one document and come out alike; rows without doc_id come last; an empty
@@ -24,9 +24,10 @@ from pyspark.sql import Window
 from wattloom.llm.common import discard, saved
 
 WORDS, PERCENT = 5, 80
-BUCKETS = 1 << 18
-#: Rarity (twice the logarithm of a word's count) from which a list is salted, and the salts.
-COMMON_LEVEL, SALTS = 36, 64
+#: Buckets of word hashes whose counts give the rarity: 2 MB in all.
+BUCKETS = 1 << 22
+#: Rarity from which a list is salted (a count of 2**18), and the salts.
+COMMON_LEVEL, SALTS = 11, 64
 #: Ids of lines to verify that may be broadcast (8 bytes each).
 BROADCAST_IDS = 1 << 21
 _SPACE = r"[ \t\x0B\f\r]"
@@ -61,16 +62,37 @@ def distinct_lines(docs: DataFrame, words: int) -> DataFrame:
 
 
 def rarity(classes: DataFrame) -> Column:
-    """The rarity of each bucket of word hashes as an array, 0 for the rarest: two steps a doubling of the count."""
-    words = classes.select(F.explode(raw_words(F.col("line"))).alias("word")).select(F.shiftrightunsigned(F.xxhash64("word"), 6).bitwiseAND(F.lit(BUCKETS - 1)).cast("int").alias("bucket"), F.lit(1).alias("n"))
-    counts = words.groupBy("bucket").agg(F.sum("n").alias("n")).select("bucket", F.least(F.lit(63), F.floor(2 * F.log2(F.col("n") + 1))).cast("int").alias("level")).toArrow()
-    levels = [0] * BUCKETS
-    for bucket, level in zip(counts.column(0).to_pylist(), counts.column(1).to_pylist()):
-        levels[bucket] = level
-    # What a bucket of rare words holds by chance says nothing about one of them: there, length decides.
-    floor = sorted(levels)[BUCKETS // 2] + 1
-    levels = [max(x, floor) for x in levels]
-    return F.expr(f"cast(split('{','.join(map(str, levels))}', ',') as array<tinyint>)")
+    """The rarity of each bucket of word hashes, 4 bits each, as a function of the word's hash: 0 for buckets that hold
+    one word once, then a step a doubling of the count up to 16 and a step for each fourfold beyond."""
+    words = classes.select(F.explode(raw_words(F.col("line"))).alias("word")).select(_bucket(F.xxhash64("word")).alias("bucket"))
+    bits = F.log2("n")
+    level = F.least(F.lit(15), F.ceil(F.when(bits <= 4, bits).otherwise(bits / 2 + 2))).cast("int")
+    counts = saved(words.groupBy("bucket").agg(F.count("*").alias("n")).select("bucket", level.alias("level")))
+    held = {r["level"]: r["n"] for r in counts.groupBy("level").agg(F.count("*").alias("n")).collect()}
+    # Where most buckets are full of rare words, what one holds by chance says nothing about a word: there, length decides.
+    empty, median = BUCKETS - sum(held.values()), 0
+    while empty + sum(n for x, n in held.items() if x <= median) <= BUCKETS // 2:
+        median += 1
+    if median > 4:
+        level = F.when(F.col("level") > 0, F.greatest("level", F.lit(median))).otherwise(F.col("level"))
+    else:
+        level = F.col("level")
+    slot = F.call_function("shiftleft", level.cast("bigint"), (F.col("bucket").bitwiseAND(F.lit(15)) * 4).cast("int"))
+    slots = [0] * (BUCKETS >> 4)
+    for at, levels in counts.groupBy(F.shiftright("bucket", 4).alias("at")).agg(F.bit_or(slot).alias("levels")).collect():
+        slots[at] = levels
+    discard(counts)
+    return F.split(F.lit(",".join(map(str, slots))), ",").cast("array<bigint>")
+
+
+def _bucket(h: Column) -> Column:
+    return F.shiftrightunsigned(h, 6).bitwiseAND(F.lit(BUCKETS - 1)).cast("int")
+
+
+def _level(levels: Column, h: Column) -> Column:
+    bucket = _bucket(h)
+    slot = F.element_at(levels, F.shiftright(bucket, 4) + 1)
+    return F.call_function("shiftrightunsigned", slot, bucket.bitwiseAND(F.lit(15)) * 4).bitwiseAND(F.lit(15))
 
 
 def postings(classes: DataFrame, levels: Column, percent: int) -> DataFrame:
@@ -78,14 +100,14 @@ def postings(classes: DataFrame, levels: Column, percent: int) -> DataFrame:
     # A word's code: 58 bits of its hash, and how far its length is from 63.
     code = lambda w: F.xxhash64(w).bitwiseAND(F.lit(-64)).bitwiseOR(F.lit(63).cast("bigint") - F.least(F.length(w), F.lit(63)))
     hashes = classes.select("cls", "doc", F.array_distinct(F.transform(raw_words(F.col("line")), code)).alias("h"))
-    level = lambda h: F.element_at(levels, (F.shiftrightunsigned(h, 6).bitwiseAND(F.lit(BUCKETS - 1)) + 1).cast("int")).cast("bigint")
-    pack = lambda h: F.shiftleft(level(h), 57).bitwiseOR(F.shiftleft(h.bitwiseAND(F.lit(63)), 51)).bitwiseOR(F.shiftrightunsigned(h, 13))
+    pack = lambda h: F.shiftleft(_level(levels, h), 57).bitwiseOR(F.shiftleft(h.bitwiseAND(F.lit(63)), 51)).bitwiseOR(F.shiftrightunsigned(h, 13))
     # For each of 64 classes of words, the parity of the line's words in it: two lines differ in no more bits than in words.
     bits = F.aggregate("h", F.lit(0).cast("bigint"), lambda b, h: b.bitwiseXOR(F.call_function("shiftleft", F.lit(1).cast("bigint"), F.shiftrightunsigned(h, 6).bitwiseAND(F.lit(63)).cast("int"))))
     held = hashes.select("cls", "doc", F.size("h").alias("n"), bits.alias("bits"), F.sort_array(F.transform("h", pack)).alias("tokens"))
     prefix = F.col("n") - F.floor((percent * F.col("n") + 99) / 100).cast("int") + 1
     rows = held.select("cls", "doc", "n", "bits", F.posexplode(F.slice("tokens", F.lit(1), prefix)).alias("place", "token"))
-    return rows.select("token", "cls", "doc", F.struct("n", "place", "bits").alias("line"))
+    shared = rows.where(F.shiftrightunsigned("token", 57) > 0)  # a word seen once meets nobody
+    return shared.select("token", "cls", "doc", F.struct("n", "place", "bits").alias("line"))
 
 
 def _able(x: str, y: str, percent: int) -> Column:
