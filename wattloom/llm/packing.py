@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from wattloom.llm.common import as_bytes, document_batches, partition_index
-from wattloom.llm.word_tokens import chunk_ids
+from wattloom.llm.word_tokens import MEMORY, chunk_ids
 
 SCHEMA = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
 CAPACITY, END_ID = 4096, 2
@@ -86,13 +86,13 @@ def pack(lengths: list[int], capacity: int = CAPACITY, linear: float = COST_LINE
     return out
 
 
-def pack_documents(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, end_id: int = END_ID, block: int = BLOCK_TOKENS) -> DataFrame:
-    """One row for each piece of every document."""
+def pack_documents(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, end_id: int = END_ID, block: int = BLOCK_TOKENS, memory: int = MEMORY) -> DataFrame:
+    """One row for each piece of every document; memory bounds the chunks whose ids a worker remembers."""
     names = [x.split()[0] for x in SCHEMA.split(", ")]
     end = int(end_id).to_bytes(4, "little")
 
     def run(batches):
-        encoder, part = chunk_ids(tokenizer), partition_index()
+        encoder, part = chunk_ids(tokenizer, memory), partition_index()
         held: list[tuple[int | None, bytes]] = []
         tokens = first = 0
 

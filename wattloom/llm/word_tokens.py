@@ -12,7 +12,7 @@ import os
 from array import array
 from functools import lru_cache
 
-#: Chunks that a worker remembers (about 200 bytes each), and the longest of them in bytes.
+#: Chunks that a worker remembers (about 200 bytes each) unless told otherwise, and the longest of them in bytes.
 MEMORY, LONGEST = 1_200_000, 64
 #: Marks that neither begin a contraction nor belong to a special string.
 _MARKS = b".,!?;:%&$*#"
@@ -26,7 +26,8 @@ def chunks_of(data: bytes) -> list[bytes]:
 class ChunkIds(dict):
     """Chunk to its ids as little-endian unsigned 32-bit integers."""
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, memory: int = MEMORY):
+        self.memory = memory
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
 
@@ -51,7 +52,7 @@ class ChunkIds(dict):
 
     def ids(self, data: bytes) -> bytes:
         chunks = chunks_of(data)
-        if len(self) > MEMORY:
+        if len(self) > self.memory:
             self.clear()
         missing = [c for c in set(chunks) if c not in self]
         if missing:
@@ -65,7 +66,7 @@ class ChunkIds(dict):
         return out
 
 
-@lru_cache(maxsize=2)
-def chunk_ids(path: str) -> ChunkIds:
+@lru_cache(maxsize=1)
+def chunk_ids(path: str, memory: int = MEMORY) -> ChunkIds:
     """A worker's encoder; what it has learnt serves the worker's later tasks too."""
-    return ChunkIds(path)
+    return ChunkIds(path, memory)
