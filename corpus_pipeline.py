@@ -17,6 +17,8 @@ from wattloom.llm import line_dedup, minhash, packing, quality
 from wattloom.llm.common import saved, table
 
 ORACLE_SQL = None
+#: Chunks that a packing worker remembers: fewer than by default, as an executor's heap has grown in the stages before.
+REMEMBERED = 500_000
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -37,7 +39,7 @@ def near_deduplication(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The pieces of all documents in sequences of at most 4096 tokens."""
-    return packing.pack_documents(docs, public_tokenizers.path("word_bpe_49k.json"))
+    return packing.pack_documents(docs, public_tokenizers.path("word_bpe_49k.json"), memory=REMEMBERED)
 
 
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
