@@ -8,7 +8,7 @@ survivors are verified on their words. Each line first meets the earliest line o
 and only lines which that doesn't settle meet whole lists, so that groups of copies aren't paired off.
 The positional filter is joined by a parity filter: 64 bits a line that differ in no more places than
 the word sets do.
-Rarity is the logarithm of a word's count, counted in 2**22 buckets of word hashes over all lines, then
+Rarity is the logarithm of a word's count, counted in 2**21 buckets of word hashes over all lines, then
 the word's length, longest first: any order is exact, as long as all lines share it, and this one has a fixed size.
 Defined results: null text has no lines and stays null; shorter and empty lines stay; rows alike in
 doc_id and text count as one document and come out alike; rows without doc_id come last; an empty
@@ -24,8 +24,8 @@ from pyspark.sql import Window
 from wattloom.llm.common import discard, saved
 
 WORDS, PERCENT = 5, 80
-#: Buckets of word hashes whose counts give the rarity: 2 MB in all.
-BUCKETS = 1 << 22
+#: Buckets of word hashes whose counts give the rarity: 1 MB in all.
+BUCKETS = 1 << 21
 #: Rarity from which a list is salted (a count of 2**18), and the salts.
 COMMON_LEVEL, SALTS = 11, 64
 #: Ids of lines to verify that may be broadcast (8 bytes each).
@@ -78,11 +78,12 @@ def rarity(classes: DataFrame) -> Column:
     else:
         level = F.col("level")
     slot = F.call_function("shiftleft", level.cast("bigint"), (F.col("bucket").bitwiseAND(F.lit(15)) * 4).cast("int"))
-    slots = [0] * (BUCKETS >> 4)
-    for at, levels in counts.groupBy(F.shiftright("bucket", 4).alias("at")).agg(F.bit_or(slot).alias("levels")).collect():
-        slots[at] = levels
+    none = classes.sparkSession.range(BUCKETS >> 4).select(F.col("id").cast("int").alias("at"), F.lit(0).cast("bigint").alias("levels"))
+    slots = counts.select(F.shiftright("bucket", 4).alias("at"), slot.alias("levels")).union(none).groupBy("at").agg(F.bit_or("levels").alias("levels"))
+    runs = slots.groupBy(F.shiftright("at", 10).alias("run")).agg(F.array_sort(F.collect_list(F.struct("at", "levels"))).alias("slots"))
+    texts = [r["text"] for r in runs.select("run", F.array_join(F.transform("slots", lambda x: x["levels"].cast("string")), ",").alias("text")).orderBy("run").collect()]
     discard(counts)
-    return F.split(F.lit(",".join(map(str, slots))), ",").cast("array<bigint>")
+    return F.split(F.lit(",".join(texts)), ",").cast("array<bigint>")
 
 
 def _bucket(h: Column) -> Column:
