@@ -43,7 +43,7 @@ def saved(df: DataFrame) -> DataFrame:
     """df written once to the shared folder and read back: cuts the lineage, survives lost executors."""
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/wattloom/{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    df.write.option("compression", "zstd").parquet(path)
     release(spark)
     back = spark.read.schema(df.schema).parquet(path)
     back._wattloom_path = path

@@ -148,7 +148,12 @@ def similar_lines(classes: DataFrame, percent: int) -> DataFrame:
     # Lists of very common words are dealt over tasks: the lowest bits of their tokens give way to a salt.
     common, low = F.shiftrightunsigned("token", 57) >= COMMON_LEVEL, F.lit(SALTS - 1).cast("bigint")
     bare = F.when(common, F.col("token").bitwiseAND(F.bitwise_not(low))).otherwise(F.col("token"))
-    salted = posts.withColumn("token", F.when(common, bare.bitwiseOR(F.col("cls").bitwiseAND(low))).otherwise(F.col("token")))
+    salted = F.when(common, bare.bitwiseOR(F.col("cls").bitwiseAND(low))).otherwise(F.col("token"))
+    # Rows are dealt as five longs; the struct is made behind the shuffle.
+    sizes = F.shiftleft(F.col("line.n").cast("bigint"), 31).bitwiseOR(F.col("line.place").cast("bigint"))
+    dealt = posts.select(salted.alias("token"), "cls", "doc", sizes.alias("sizes"), F.col("line.bits").alias("bits")).repartition("token")
+    line = F.struct(F.shiftright("sizes", 31).cast("int").alias("n"), F.col("sizes").bitwiseAND(F.lit((1 << 31) - 1)).cast("int").alias("place"), "bits")
+    salted = dealt.select("token", "cls", "doc", line.alias("line"))
     own = Window.partitionBy("token").orderBy("doc", "cls")
     listed = salted.withColumn("head", F.first(F.struct("cls", "line")).over(own.rowsBetween(Window.unboundedPreceding, 0))).withColumn("nth", F.row_number().over(own))
     listed = listed.withColumn("next", F.lead(F.struct("cls", "line", "doc")).over(own)).withColumn("third", F.lead("doc", 2).over(own))
