@@ -112,6 +112,33 @@ def test_lines(spark, docs, empty):
     assert line_dedup.line_report(empty).count() == 0 and line_dedup.dedup_lines(empty).count() == 0
 
 
+def short_texts():
+    rng = random.Random(8)
+    held = ["Les.\nA line of six words here\nLes.\n\nOne two", "Les.\ntwo  One\none two\none two three four", "four three two one five\n \t\nthree one two\none two three\nLes. \t", "a b a b a\nb a\nLes.", "Les.", "b b b b b b\nb\nb\r"]
+    held += ["\n".join(" ".join(rng.choices("abcdef", k=rng.randrange(8))) for _ in range(5)) for _ in range(20)]
+    return list(enumerate(held))
+
+
+def test_short_lines(spark):
+    """Lines of one to four words are held against earlier ones like any others."""
+    rows, earlier, removed, kept = short_texts(), [], {}, {}
+    for i, t in rows:
+        gone = []
+        for p, line in enumerate(t.split("\n")):
+            s = set(line.split())
+            if s and any(len(s & o) * 100 >= 80 * len(s | o) for o in earlier):
+                gone.append(p)
+            earlier += [s] if s else []
+        removed[i] = gone
+        rest = "\n".join(x for p, x in enumerate(t.split("\n")) if p not in gone)
+        if rest.split() or not gone:
+            kept[i] = rest
+    assert removed[0] == [2] and removed[2][0] == 0 and 4 not in kept
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    assert {r["doc_id"]: r["removed"] for r in line_dedup.line_report(df).collect()} == removed
+    assert {r["doc_id"]: r["text"] for r in line_dedup.dedup_lines(df).collect()} == kept
+
+
 def test_token_counts(docs, empty):
     from tokenizers import Tokenizer
 

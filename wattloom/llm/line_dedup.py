@@ -4,13 +4,14 @@ A line of at least `words` words is removed if an earlier line (by doc_id, then
 is equal to it or has a word set of Jaccard similarity `percent` or more. Equal lines meet in an
 aggregate. For the others each distinct line orders its words by rarity, takes the prefix that two
 similar lines cannot both miss, less the words seen once in all, and meets other lines there under length and positional filters;
-survivors are verified on their words. Each line first meets the earliest line of each of its lists,
+survivors are verified on their words. A line of so few words that only an equal word set is similar
+(three at 80 percent; four words are similar to five that hold them) is posted once, under its whole set. Each line first meets the earliest line of each of its lists,
 and only lines which that doesn't settle meet whole lists, so that groups of copies aren't paired off.
 The positional filter is joined by a parity filter: 64 bits a line that differ in no more places than
 the word sets do.
 Rarity is the logarithm of a word's count, counted in 2**21 buckets of word hashes over all lines, then
 the word's length, longest first: any order is exact, as long as all lines share it, and this one has a fixed size.
-Defined results: null text has no lines and stays null; shorter and empty lines stay; rows alike in
+Defined results: null text has no lines and stays null; lines without words (or of fewer than `words`) stay; rows alike in
 doc_id and text count as one document and come out alike; rows without doc_id come last; an empty
 table gives no rows; all other columns are carried through untouched.
 """
@@ -23,7 +24,8 @@ from pyspark.sql import Window
 
 from wattloom.llm.common import discard, saved
 
-WORDS, PERCENT = 5, 80
+#: Every line with a word takes part.
+WORDS, PERCENT = 1, 80
 #: Buckets of word hashes whose counts give the rarity: 1 MB in all.
 BUCKETS = 1 << 21
 #: Rarity from which a list is salted (a count of 2**18), and the salts.
@@ -105,6 +107,11 @@ def postings(classes: DataFrame, levels: Column, percent: int) -> DataFrame:
     # For each of 64 classes of words, the parity of the line's words in it: two lines differ in no more bits than in words.
     bits = F.aggregate("h", F.lit(0).cast("bigint"), lambda b, h: b.bitwiseXOR(F.call_function("shiftleft", F.lit(1).cast("bigint"), F.shiftrightunsigned(h, 6).bitwiseAND(F.lit(63)).cast("int"))))
     held = hashes.select("cls", "doc", F.size("h").alias("n"), bits.alias("bits"), F.sort_array(F.transform("h", pack)).alias("tokens"))
+    # Where n of n + 1 words are too few, only equal sets are similar: those meet under the hash of all their tokens, at the lowest rarity but one.
+    alone = F.col("n") * (100 - percent) < percent
+    whole = F.lit(1 << 57).bitwiseOR(F.shiftrightunsigned(F.xxhash64("tokens"), 7))
+    met = F.when(alone & (F.shiftrightunsigned(F.element_at("tokens", 1), 57) > 0), F.array(whole)).otherwise(F.col("tokens"))
+    held = held.select("cls", "doc", "n", "bits", met.alias("tokens"))
     prefix = F.col("n") - F.floor((percent * F.col("n") + 99) / 100).cast("int") + 1
     rows = held.select("cls", "doc", "n", "bits", F.posexplode(F.slice("tokens", F.lit(1), prefix)).alias("place", "token"))
     shared = rows.where(F.shiftrightunsigned("token", 57) > 0)  # a word seen once meets nobody
