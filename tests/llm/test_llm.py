@@ -338,6 +338,16 @@ def test_quality(spark, docs, empty):
     assert quality.fit(docs, labels.limit(0)).emit == [0.0] * quality.N_FEATURES
 
 
+def test_quality_is_fitted_on_all_lines(spark, monkeypatch):
+    """Lines after the 120th of a labelled document reach the training."""
+    rows = [(k, "\n".join(f"Line {n} of a text." for n in range(300 + k))) for k in range(4)]
+    labels = spark.createDataFrame([(k, k % 2) for k in range(4)], "doc_id long, quality int")
+    seen = []
+    monkeypatch.setattr(quality, "train", lambda examples: seen.extend((len(f), y) for f, y in examples))
+    quality.fit(spark.createDataFrame(rows, "doc_id long, text string"), labels)
+    assert seen == [(300, 1), (301, 0), (302, 1), (303, 0)]
+
+
 def test_viterbi_finds_the_best_sequence():
     rng = random.Random(6)
     crf = quality.LineCrf([rng.uniform(-1, 1) for _ in range(quality.N_FEATURES)], [[0.4, -0.3], [-0.2, 0.5]])

@@ -19,8 +19,8 @@ from pyspark.sql import functions as F
 from wattloom.llm.common import as_bytes, document_batches
 
 SCHEMA = "doc_id long, n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, base_failed boolean, kept boolean, content_share double"
-#: The classifier is fitted on at most so many labelled documents and so many lines of each.
-MAX_LABELLED, MAX_LINES = 1200, 120
+#: The classifier is fitted on at most so many labelled documents, on all lines of each.
+MAX_LABELLED = 1200
 MIN_WORDS, MAX_REPEAT_PERCENT, WINDOW = 20, 30, 8
 CONTENT_SHARE = 0.5
 EPOCHS, RATE, DECAY = 6, 0.2, 1e-4
@@ -85,7 +85,7 @@ def line_features(line: bytes, words: list[bytes], seen_before: bool, first: boo
     return found
 
 
-def sequence(data: bytes, most: int | None = None) -> tuple[list[list[int]], list[int], int]:
+def sequence(data: bytes) -> tuple[list[list[int]], list[int], int]:
     """Feature lists and word bytes of the lines that hold a word, and the number of repeated lines."""
     features, sizes, seen, repeats = [], [], set(), 0
     for line in data.split(b"\n"):
@@ -95,9 +95,8 @@ def sequence(data: bytes, most: int | None = None) -> tuple[list[list[int]], lis
         again = line in seen
         repeats += again
         seen.add(line)
-        if most is None or len(features) < most:
-            features.append(line_features(line, words, again, not features))
-            sizes.append(sum(map(len, words)))
+        features.append(line_features(line, words, again, not features))
+        sizes.append(sum(map(len, words)))
     return features, sizes, repeats
 
 
@@ -177,7 +176,7 @@ def fit(docs: DataFrame, labels: DataFrame, most: int = MAX_LABELLED) -> LineCrf
 
     def features(batches):
         for b in batches:
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array([sequence(x, MAX_LINES)[0] for x in as_bytes(b.column(1))], pa.list_(pa.list_(pa.int32())))], ["doc_id", "features"])
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array([sequence(x)[0] for x in as_bytes(b.column(1))], pa.list_(pa.list_(pa.int32())))], ["doc_id", "features"])
 
     document_batches(docs.sparkSession)
     rows = docs.select("doc_id", "text").where(F.col("doc_id").isin(list(quality))).mapInArrow(features, "doc_id long, features array<array<int>>").collect()
