@@ -62,6 +62,14 @@ def test_html():
         assert isinstance(html_extract.extract(odd), str)
 
 
+def test_html_keeps_figures_and_siblings():
+    page = "<article><p>Before it.</p><figure><img src=x><pre>a = 1</pre><table><tr><td>cell</td></tr></table><figcaption>What it shows.</figcaption></figure><p>After it.</p></article>"
+    assert html_extract.extract(page) == "Before it.\n\na = 1\n\ncell\n\nWhat it shows.\n\nAfter it."
+    first, second, third = "A long paragraph, with commas, in one part, that counts. " * 8, "A single paragraph without any of those marks but with words " * 2, "Short, but with a comma."
+    page = f"<body><div><p>{first}</p><p>{first}</p></div><section><p>{second}</p></section><div><p>{third}</p></div><ul><li><a href=x>{second}</a></ul><div>Tiny</div></body>"
+    assert html_extract.extract(page).split("\n\n") == [first.strip(), first.strip(), second.strip(), third]
+
+
 def test_html_pages(spark):
     rows = [(1, "u", "<article><p>Text one.</p></article>", "t"), (None, None, None, "t"), (1, "u", "<article><p>Text one.</p></article>", "t")]
     df = spark.createDataFrame(rows, "page_id long, url string, html string, text string")

@@ -2,8 +2,8 @@
 
 A tolerant parser builds the element tree. Each paragraph passes points for its length and its
 commas to its ancestors, less the further up; an element's points are discounted by the share of
-its text that stands in links. The best container wins; neighbours that score well, headings and
-solid paragraphs beside it are kept. Menus, forms, notices, adverts and comments are never kept.
+its text that stands in links. The best container wins; neighbours that score well or hold
+solid text with few links, and headings beside it, are kept. Menus, forms, notices, adverts and comments are never kept.
 Defined results: null or empty html gives an empty text; a page without any main text gives an
 empty text; repeated rows and null ids give one row each; an empty table gives no rows; other
 columns are ignored. All html is parsed, whatever its length.
@@ -25,7 +25,7 @@ SCHEMA = "page_id long, url string, text string, n_chars long"
 #: Element names of the HTML standard by their role here.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW = frozenset("script style textarea title xmp iframe noembed noframes".split())
-DROPPED = frozenset("script style textarea title xmp iframe noembed noframes head nav footer aside form button select option input label fieldset legend noscript template svg math canvas object embed audio video map menu dialog figure datalist".split())
+DROPPED = frozenset("script style textarea title xmp iframe noembed noframes head nav footer aside form button select option input label fieldset legend noscript template svg math canvas object embed audio video map menu dialog datalist".split())
 BLOCKS = frozenset("address article aside blockquote body caption center dd details div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hgroup hr html legend li main menu nav ol p pre section summary table tbody td tfoot th thead tr ul".split())
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 TEXTUAL = frozenset("p pre td th blockquote li dd dt div section article main body center figcaption caption summary address".split())
@@ -212,7 +212,7 @@ def main_nodes(root: Node) -> list[Node]:
             out.append(c)
         elif isinstance(c, Node) and not c.dropped and c.text:
             density = c.linked / c.text
-            if c.tag in HEADINGS and density < 0.5 or c.points >= least and density < 0.35 or c.tag in ("p", "pre", "blockquote") and density < 0.25 and (c.text >= 80 or c.text >= 20 and c.commas + 1 > 1):
+            if c.tag in HEADINGS and density < 0.5 or c.points >= least and density < 0.35 or density < 0.25 and (c.text >= 80 or c.text >= 20 and any(n.commas for n in _walk(c))):
                 out.append(c)
     return out
 
