@@ -178,6 +178,16 @@ def test_embeddings(spark):
     assert embedding_dedup.embedding_links(spark.createDataFrame([], "vec_id long, embedding array<float>")).count() == 0
 
 
+@pytest.mark.parametrize("width", [64, 256, 1000])
+def test_embedding_slack(width, monkeypatch):
+    """The slack of the tile product is at least the error bound of a float32 sum of that width, and tile() takes it."""
+    assert embedding_dedup.slack(width) >= width * 2.0**-24 * 1.3 + 3 * 2.0**-24
+    least = []
+    monkeypatch.setattr(embedding_dedup, "slack", lambda n: least.append(n) or 0.5)
+    embedding_dedup.tile(np.arange(2), np.ones(2, np.int64), np.eye(2, width) + 1, 2, 0.95)
+    assert least == [width]
+
+
 def test_byte_bpe(docs, empty):
     import tiktoken
 

@@ -35,6 +35,12 @@ def quantised(units: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return q.astype(np.float32 if units.shape[1] <= 1000 else np.float64), scale, error
 
 
+def slack(width: int) -> float:
+    """Covers the rounding of a float32 product of unit vectors, in whatever order it is summed: width * 2**-24 of the
+    product of their lengths, the roundings of the factors and of the limit, and up to twice that for the quantisation."""
+    return max(1e-5, (width + 4) * 2.0**-23)
+
+
 def tile(ids: np.ndarray, copies: np.ndarray, vectors: np.ndarray, first: int, cosine: float) -> tuple[np.ndarray, np.ndarray]:
     """Links of each vector, counting copies, and the position of its component's root; if first is smaller
     than their number only pairs between the first so many vectors and the rest count."""
@@ -45,8 +51,8 @@ def tile(ids: np.ndarray, copies: np.ndarray, vectors: np.ndarray, first: int, c
     lo = 0 if whole else first
     worst = error[lo:].max()
     columns = (q[lo:] * scale[lo:, None].astype(q.dtype)).T
-    # The least product of a row's whole numbers with the other, scaled, that the bound lets pass; the slack covers float32.
-    least = ((cosine - (error * (1 + worst) + worst * (1 + error) + error * worst) - 1e-5) / scale).astype(q.dtype)
+    # The least product of a row's whole numbers with the other, scaled, that the bound lets pass; slack() covers float32.
+    least = ((cosine - (error * (1 + worst) + worst * (1 + error) + error * worst) - slack(q.shape[1])) / scale).astype(q.dtype)
 
     def find(x: int) -> int:
         while root[x] != x:
