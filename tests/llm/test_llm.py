@@ -232,6 +232,13 @@ def test_chat(spark):
     assert chat_format.conversation_digests(chat_format.format_conversations(df.limit(0))).count() == 0
 
 
+def test_chat_template_sees_the_conversation(spark):
+    template = "[{% for m in messages %}{{ loop.index }}{% if loop.first %}f{% endif %}{% generation %}{{ m.text }}{% endgeneration %}{% if not loop.last %},{% endif %}{% endfor %}]"
+    df = spark.createDataFrame([(1, 0, "user", "a"), (1, 1, "user", "b"), (1, 2, "user", "c"), (2, 0, "user", "d")], "conv_id long, turn long, role string, text string")
+    got = by_row(chat_format.format_conversations(df, template), "conv_id", "place", "text", "spans")
+    assert [(*r[:3], [tuple(x) for x in r[3]]) for r in got] == [(1, 0, "[1fa,", [(3, 4)]), (1, 1, "2b,", [(1, 2)]), (1, 2, "3c]", [(1, 2)]), (2, 0, "[1fd]", [(3, 4)])]
+
+
 def test_packing(docs, empty):
     from tokenizers import Tokenizer
 

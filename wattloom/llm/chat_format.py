@@ -1,7 +1,7 @@
 """Chat formatting: conversations rendered by a compiled template, with the spans to train on.
 
-Turns of a conversation are sorted within one task and rendered one by one, so memory is bounded
-by a turn, however long a conversation is. Control strings inside texts are escaped by a backslash
+Turns of a conversation are sorted within one task and handed to the template one by one, so memory
+is bounded by a turn and the next, however long a conversation is; a template goes through them once. Control strings inside texts are escaped by a backslash
 after their first character; what looks escaped already gets one more, so it can be undone.
 Defined results: null text or role is empty; turns are sorted by turn, role, text, nulls first;
 repeated rows are turns of their own; rows without conv_id form one conversation with a null id;
@@ -86,6 +86,32 @@ def _groups(batches, turn) -> Iterator[tuple]:
         yield key, map(turn, own)
 
 
+def _by_turn(render, turns: Iterator[dict]) -> Iterator[tuple[str, list[dict]]]:
+    """(text, spans) of each turn of one rendered conversation. What stands before the turns goes with the first
+    of them, what follows with the last."""
+    taken, ended = 0, False
+
+    def messages():
+        nonlocal taken, ended
+        for turn in turns:
+            taken += 1
+            yield turn
+        ended = True
+
+    text, spans, at, place = [], [], 0, 0
+    for x, generated in render({"messages": messages()}):
+        # While a turn is rendered, the template's loop has the next in hand, or knows that there is none.
+        while place < (taken - 1 if ended else taken - 2):
+            yield "".join(text), spans
+            text, spans, at, place = [], [], 0, place + 1
+        if generated:
+            spans.append({"start": at, "stop": at + len(x)})
+        text.append(x)
+        at += len(x)
+    yield "".join(text), spans
+    yield from (("", []) for _ in range(place + 1, taken))
+
+
 def format_conversations(turns: DataFrame, template: str = TEMPLATE) -> DataFrame:
     """The formatted text in pieces, one for each turn, sorted by place within a conversation, which lies
     in one partition; `spans` are the generated stretches of a piece."""
@@ -97,15 +123,9 @@ def format_conversations(turns: DataFrame, template: str = TEMPLATE) -> DataFram
         out: list[tuple] = []
         size = 0
         for key, own in _groups(batches, lambda r: {"role": r[1] or "", "text": r[2] or ""}):
-            for place, turn in enumerate(own):
-                text, spans, at = [], [], 0
-                for x, generated in render({"messages": (turn,)}):
-                    if generated:
-                        spans.append({"start": at, "stop": at + len(x)})
-                    text.append(x)
-                    at += len(x)
-                out.append((key, place, "".join(text), spans))
-                size += at
+            for place, (text, spans) in enumerate(_by_turn(render, own)):
+                out.append((key, place, text, spans))
+                size += len(text)
                 if size > 1 << 20:
                     yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*out), kinds)], names)
                     out, size = [], 0
