@@ -99,10 +99,9 @@ def brute_lines(rows):
     earlier, removed = [], defaultdict(list)
     for i, t in order:
         for p, line in enumerate(t.split("\n")):
-            words = re.split(r"[ \t\x0b\f\r]+", line.strip(" \t\x0b\f\r"))
-            if len(words) < 5:
+            s = set(re.split(r"[ \t\x0b\f\r]+", line.strip(" \t\x0b\f\r"))) - {""}
+            if not s:
                 continue
-            s = set(words)
             if any(len(s & o) * 100 >= 80 * len(s | o) for o in earlier):
                 removed[i].append(p)
             earlier.append(s)

@@ -3,9 +3,9 @@
 from __future__ import annotations
 
 import tempfile
-import time
 import uuid
 from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -23,28 +23,35 @@ def document_batches(spark: SparkSession, rows: int = DOCUMENT_BATCH) -> None:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share; a temporary one only where none is set."""
+    """The folder that driver and executors share; a temporary one only where none is set and all run on one machine."""
     found = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not found:
+        if not spark.sparkContext.master.startswith("local["):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that driver and executors share")
         found = tempfile.mkdtemp(prefix="wattloom-")
         spark.sparkContext.setCheckpointDir(found)
         found = spark.sparkContext.getCheckpointDir()
     return found.rstrip("/")
 
 
-def release(spark: SparkSession) -> None:
-    """Let the shuffle files of finished jobs go now: they go with the driver's garbage, once its listeners are through."""
-    for _ in range(2):
-        spark._jvm.System.gc()
-        time.sleep(0.1)
+@contextmanager
+def setting(spark: SparkSession, key: str, value: str) -> Iterator[None]:
+    """A setting of the session for the time of a block."""
+    before = spark.conf.get(key, None)
+    spark.conf.set(key, value)
+    try:
+        yield
+    finally:
+        spark.conf.unset(key) if before is None else spark.conf.set(key, before)
 
 
 def saved(df: DataFrame) -> DataFrame:
-    """df written once to the shared folder and read back: cuts the lineage, survives lost executors."""
+    """df written once to the shared folder and read back: cuts the lineage, survives lost executors. The shuffle files
+    of the job that writes it go when it ends."""
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/wattloom/{uuid.uuid4().hex}"
-    df.write.option("compression", "zstd").parquet(path)
-    release(spark)
+    with setting(spark, "spark.sql.classic.shuffleDependency.fileCleanup.enabled", "true"):
+        df.write.option("compression", "zstd").parquet(path)
     back = spark.read.schema(df.schema).parquet(path)
     back._wattloom_path = path
     return back

@@ -1,217 +1,222 @@
 """Line dedup by an exact set-similarity join, in DataFrame functions alone.
 
-A line of at least `words` words is removed if an earlier line (by doc_id, then place in the text)
-is equal to it or has a word set of Jaccard similarity `percent` or more. Equal lines meet in an
-aggregate. For the others each distinct line orders its words by rarity, takes the prefix that two
-similar lines cannot both miss, less the words seen once in all, and meets other lines there under length and positional filters;
-survivors are verified on their words. A line of so few words that only an equal word set is similar
-(three at 80 percent; four words are similar to five that hold them) is posted once, under its whole set. Each line first meets the earliest line of each of its lists,
-and only lines which that doesn't settle meet whole lists, so that groups of copies aren't paired off.
-The positional filter is joined by a parity filter: 64 bits a line that differ in no more places than
-the word sets do.
-Rarity is the logarithm of a word's count, counted in 2**21 buckets of word hashes over all lines, then
-the word's length, longest first: any order is exact, as long as all lines share it, and this one has a fixed size.
-Defined results: null text has no lines and stays null; lines without words (or of fewer than `words`) stay; rows alike in
-doc_id and text count as one document and come out alike; rows without doc_id come last; an empty
-table gives no rows; all other columns are carried through untouched.
+A line with a word is removed if an earlier line (by doc_id, then place in the text) is equal to it or has a
+word set of Jaccard similarity `percent` or more. Equal lines meet in an aggregate; the rest is one join:
+1. Each distinct line orders its words by rarity and is posted under the prefix that two similar lines cannot
+   both miss. Rarity is the logarithm of a word's count over all lines, in fixed buckets of word hashes; hashes
+   break ties. Any order that all lines share is exact; a finer one makes shorter lists.
+2. A semi-join of the postings with themselves keeps those that have a partner which length, positional and
+   parity filter (128 bits a line that differ in no more places than the word sets do) let pass. It stops at a
+   posting's first partner, so its rows are linear however large a group of copies is.
+3. What is left meets in stars: each line meets the first line of its lists, and of random parts of them. Pairs
+   are verified on their words; only lines that no star settles meet all earlier lines of their lists, behind a
+   parity filter of 512 bits.
+A line of so few words that only an equal word set is similar (three at 80 percent) is posted once, under all
+its words. The filters compare words by 64-bit hashes, verification compares the words.
+Defined results: null text has no lines and stays null; lines without words stay; rows alike in doc_id and text
+count as one document and come out alike; rows without doc_id come last; an empty table gives no rows; all other
+columns are carried through untouched.
 """
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import Window
 
 from wattloom.llm.common import discard, saved
 
-#: Every line with a word takes part.
-WORDS, PERCENT = 1, 80
-#: Buckets of word hashes whose counts give the rarity: 1 MB in all.
-BUCKETS = 1 << 21
-#: Rarity from which a list is salted (a count of 2**18), and the salts.
-COMMON_LEVEL, SALTS = 11, 64
-#: Ids of lines to verify that may be broadcast (8 bytes each).
-BROADCAST_IDS = 1 << 21
-_SPACE = r"[ \t\x0B\f\r]"
-_INK = r"[^ \t\x0B\f\r]"
+PERCENT = 80
+#: Buckets of word hashes whose counts give the rarity: 128 kB in all.
+BUCKETS = 1 << 16
+#: Into how many random parts each list falls, one star round after the other.
+PARTS = (1, 16, 256)
+#: Ids of lines that may be broadcast (8 bytes each).
+BROADCAST_IDS = 1 << 20
+#: The longs of the parity filter of all postings, and of the one of lines that pass it: 64 bits each.
+BITS, WIDE = ("b0", "b1"), tuple(f"w{k}" for k in range(8))
 
 
-def _is_long(line: Column, words: int) -> Column:
-    return line.rlike(f"(?:{_INK}+{_SPACE}+){{{words - 1}}}{_INK}")
+def has_word(line: Column) -> Column:
+    """Whether anything but white space stands in a line; the first character mostly tells."""
+    return ~F.ascii(F.ltrim(line)).isin(0, 9, 11, 12, 13) | line.rlike(r"[^ \t\x0B\f\r]")
 
 
 def raw_words(line: Column) -> Column:
-    """The words of a line that has any; the plain form where single spaces part them."""
-    trimmed = F.btrim(line, F.lit(" \t\x0b\f\r"))
-    return F.when(trimmed.rlike(r"[\t\x0B\f\r]|  "), F.split(trimmed, f"{_SPACE}+")).otherwise(F.split(trimmed, " "))
+    """The words of a line that has any; among them an empty one where spaces don't part them singly."""
+    odd = line.rlike(r"[\t\x0B\f\r]")
+    return F.when(odd, F.split(F.btrim(line, F.lit(" \t\x0b\f\r")), r"[ \t\x0B\f\r]+")).otherwise(F.split(line, " "))
 
 
 def words_of(line: Column) -> Column:
     """The distinct words of a line."""
-    return F.array_distinct(raw_words(line))
+    return F.array_remove(F.array_distinct(raw_words(line)), "")
 
 
 def _keyed(docs: DataFrame) -> DataFrame:
-    return docs.select("doc_id", "text", F.xxhash64("doc_id", "text").alias("rk"))
-
-
-def distinct_lines(docs: DataFrame, words: int) -> DataFrame:
-    """cls, doc, rk, pos and line of the first place of every distinct line of enough words."""
-    lines = _keyed(docs.select(F.col("doc_id").cast("long"), "text")).select(F.coalesce("doc_id", F.lit((1 << 63) - 1)).alias("doc"), "rk", F.posexplode(F.split("text", "\n")).alias("pos", "line"))
-    lines = lines.where(_is_long(F.col("line"), words))
-    first = lines.groupBy(F.xxhash64("line").alias("cls"), F.xxhash64(F.lit("second"), "line").alias("cls2")).agg(F.min(F.struct("doc", "rk", "pos", "line")).alias("first"))
-    return first.select("cls", "first.*")
-
-
-def rarity(classes: DataFrame) -> Column:
-    """The rarity of each bucket of word hashes, 4 bits each, as a function of the word's hash: 0 for buckets that hold
-    one word once, then a step a doubling of the count up to 16 and a step for each fourfold beyond."""
-    words = classes.select(F.explode(raw_words(F.col("line"))).alias("word")).select(_bucket(F.xxhash64("word")).alias("bucket"))
-    bits = F.log2("n")
-    level = F.least(F.lit(15), F.ceil(F.when(bits <= 4, bits).otherwise(bits / 2 + 2))).cast("int")
-    counts = saved(words.groupBy("bucket").agg(F.count("*").alias("n")).select("bucket", level.alias("level")))
-    held = {r["level"]: r["n"] for r in counts.groupBy("level").agg(F.count("*").alias("n")).collect()}
-    # Where most buckets are full of rare words, what one holds by chance says nothing about a word: there, length decides.
-    empty, median = BUCKETS - sum(held.values()), 0
-    while empty + sum(n for x, n in held.items() if x <= median) <= BUCKETS // 2:
-        median += 1
-    if median > 4:
-        level = F.when(F.col("level") > 0, F.greatest("level", F.lit(median))).otherwise(F.col("level"))
-    else:
-        level = F.col("level")
-    slot = F.call_function("shiftleft", level.cast("bigint"), (F.col("bucket").bitwiseAND(F.lit(15)) * 4).cast("int"))
-    none = classes.sparkSession.range(BUCKETS >> 4).select(F.col("id").cast("int").alias("at"), F.lit(0).cast("bigint").alias("levels"))
-    slots = counts.select(F.shiftright("bucket", 4).alias("at"), slot.alias("levels")).union(none).groupBy("at").agg(F.bit_or("levels").alias("levels"))
-    runs = slots.groupBy(F.shiftright("at", 10).alias("run")).agg(F.array_sort(F.collect_list(F.struct("at", "levels"))).alias("slots"))
-    texts = [r["text"] for r in runs.select("run", F.array_join(F.transform("slots", lambda x: x["levels"].cast("string")), ",").alias("text")).orderBy("run").collect()]
-    discard(counts)
-    return F.split(F.lit(",".join(texts)), ",").cast("array<bigint>")
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.xxhash64(F.col("doc_id").cast("long"), "text").alias("rk"))
 
 
 def _bucket(h: Column) -> Column:
-    return F.shiftrightunsigned(h, 6).bitwiseAND(F.lit(BUCKETS - 1)).cast("int")
-
-
-def _level(levels: Column, h: Column) -> Column:
-    bucket = _bucket(h)
-    slot = F.element_at(levels, F.shiftright(bucket, 4) + 1)
-    return F.call_function("shiftrightunsigned", slot, bucket.bitwiseAND(F.lit(15)) * 4).bitwiseAND(F.lit(15))
-
-
-def postings(classes: DataFrame, levels: Column, percent: int) -> DataFrame:
-    """token, cls, doc and line (sizes and parity: _able) for every prefix token."""
-    # A word's code: 58 bits of its hash, and how far its length is from 63.
-    code = lambda w: F.xxhash64(w).bitwiseAND(F.lit(-64)).bitwiseOR(F.lit(63).cast("bigint") - F.least(F.length(w), F.lit(63)))
-    hashes = classes.select("cls", "doc", F.array_distinct(F.transform(raw_words(F.col("line")), code)).alias("h"))
-    pack = lambda h: F.shiftleft(_level(levels, h), 57).bitwiseOR(F.shiftleft(h.bitwiseAND(F.lit(63)), 51)).bitwiseOR(F.shiftrightunsigned(h, 13))
-    # For each of 64 classes of words, the parity of the line's words in it: two lines differ in no more bits than in words.
-    bits = F.aggregate("h", F.lit(0).cast("bigint"), lambda b, h: b.bitwiseXOR(F.call_function("shiftleft", F.lit(1).cast("bigint"), F.shiftrightunsigned(h, 6).bitwiseAND(F.lit(63)).cast("int"))))
-    held = hashes.select("cls", "doc", F.size("h").alias("n"), bits.alias("bits"), F.sort_array(F.transform("h", pack)).alias("tokens"))
-    # Where n of n + 1 words are too few, only equal sets are similar: those meet under the hash of all their tokens, at the lowest rarity but one.
-    alone = F.col("n") * (100 - percent) < percent
-    whole = F.lit(1 << 57).bitwiseOR(F.shiftrightunsigned(F.xxhash64("tokens"), 7))
-    met = F.when(alone & (F.shiftrightunsigned(F.element_at("tokens", 1), 57) > 0), F.array(whole)).otherwise(F.col("tokens"))
-    held = held.select("cls", "doc", "n", "bits", met.alias("tokens"))
-    prefix = F.col("n") - F.floor((percent * F.col("n") + 99) / 100).cast("int") + 1
-    rows = held.select("cls", "doc", "n", "bits", F.posexplode(F.slice("tokens", F.lit(1), prefix)).alias("place", "token"))
-    shared = rows.where(F.shiftrightunsigned("token", 57) > 0)  # a word seen once meets nobody
-    return shared.select("token", "cls", "doc", F.struct("n", "place", "bits").alias("line"))
-
-
-def _able(x: str, y: str, percent: int) -> Column:
-    """Length, positional and parity filter for a token of two lines."""
-    (nx, px, bx), (ny, py, by) = ([F.col(f"{a}.{f}") for f in ("n", "place", "bits")] for a in (x, y))
-    both = percent * (nx + ny)
-    return (100 * F.least(nx, ny) >= percent * F.greatest(nx, ny)) & ((100 + percent) * F.least(nx - px, ny - py) >= both) & ((100 + percent) * (nx + ny - F.bit_count(bx.bitwiseXOR(by))) >= 2 * both)
-
-
-def _confirmed(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
-    """cls of each line x in pairs(x, y) that is similar enough to y and comes after it, on the words themselves."""
-    ids = pairs.select(F.col("x").alias("cls")).union(pairs.select("y")).distinct()
-    if ids.count() <= BROADCAST_IDS:
-        ids = F.broadcast(ids)
-    lines = classes.join(ids, "cls", "left_semi").select("cls", F.struct("doc", "rk", "pos").alias("at"), "line")
-    of = lambda a: lines.select(F.col("cls").alias(a), F.col("at").alias(f"{a}at"), F.col("line").alias(f"{a}line"))
-    both = pairs.join(of("x"), "x").join(of("y"), "y").where("yat < xat").select("x", words_of(F.col("xline")).alias("xw"), words_of(F.col("yline")).alias("yw"))
+    return h.bitwiseAND(F.lit(BUCKETS - 1)).cast("int")
+
+
+def rarity(docs: DataFrame) -> Column:
+    """The rarity of each bucket of word hashes: five steps a doubling of the count of its words."""
+    words = docs.select(F.explode(F.split(F.replace("text", F.lit("\n"), F.lit(" ")), " ")).alias("word"))
+    counts = words.groupBy(_bucket(F.xxhash64("word")).alias("bucket")).agg(F.count("*").alias("n"))
+    level = {r["bucket"]: r["level"] for r in counts.select("bucket", F.round(5 * F.log2("n")).cast("int").alias("level")).collect()}
+    return F.split(F.lit(",".join(str(min(255, level.get(b, 0))) for b in range(BUCKETS))), ",").cast("array<smallint>")
+
+
+def _parity(tokens: Column, words: int) -> list[Column]:
+    """For each of 64 * words classes of tokens, the parity of the line's tokens in it, 64 classes in each of some longs:
+    two lines differ in no more bits than in words."""
+    none, one = F.lit(0).cast("bigint"), F.lit(1).cast("bigint")
+    bit = lambda h, x: F.call_function("shiftleft", x, h.bitwiseAND(F.lit(63)).cast("int"))
+    of = lambda h, k: F.when(F.shiftright(h, 6).bitwiseAND(F.lit(words - 1)) == k, one).otherwise(none)
+    parts = [F.aggregate(tokens, none, lambda b, h: b.bitwiseXOR(bit(h, of(h, k)))) for k in range(1, words)]
+    # The first part is what the others lack of the parity in 64 classes of all.
+    return [reduce(Column.bitwiseXOR, parts, F.aggregate(tokens, none, lambda b, h: b.bitwiseXOR(bit(h, one)))), *parts]
+
+
+def distinct_lines(docs: DataFrame) -> DataFrame:
+    """cls, doc, rk, pos and line of the first place of every distinct line with a word."""
+    keyed = _keyed(docs).select(F.coalesce("doc_id", F.lit((1 << 63) - 1)).alias("doc"), "rk", F.posexplode(F.split("text", "\n")).alias("pos", "line"))
+    lines = keyed.where(has_word(F.col("line")))
+    keys = F.xxhash64("line").alias("cls"), F.xxhash64(F.lit("second"), "line").alias("cls2")
+    return lines.groupBy(*keys).agg(F.min(F.struct("doc", "rk", "pos", "line")).alias("first")).select("cls", "first.*")
+
+
+def with_prefix(lines: DataFrame, levels: Column, percent: int) -> DataFrame:
+    """Adds own: n (distinct words), their parity bits and prefix (the tokens to post under, rarest first)."""
+    codes = F.array_distinct(F.transform(raw_words(F.col("line")), lambda w: F.xxhash64(w)))
+    codes = F.array_remove(codes, F.xxhash64(F.lit("")))
+    # A word's token: its rarity, then 55 bits of its hash.
+    token = lambda h: F.shiftleft(F.get(levels, _bucket(h)).cast("bigint"), 55).bitwiseOR(F.shiftrightunsigned(h, 9))
+
+    def summary(tokens: Column) -> Column:
+        n = F.size(tokens)
+        # Where n of n + 1 words are too few, only equal sets are similar: those meet under the hash of all their tokens.
+        alone = F.array(F.shiftrightunsigned(F.xxhash64(tokens), 1))
+        first = F.slice(tokens, F.lit(1), n - F.floor((percent * n + 99) / 100).cast("int") + 1)
+        prefix = F.when(n * (100 - percent) < percent, alone).otherwise(first)
+        return F.struct(n.alias("n"), *(b.alias(x) for x, b in zip(BITS, _parity(tokens, len(BITS)))), prefix.alias("prefix"))
+
+    # A lambda's argument is worked out once; as columns, the optimiser would copy the tokens into each of their uses.
+    return lines.withColumn("own", F.get(F.transform(F.array(F.sort_array(F.transform(codes, token))), summary), F.lit(0)))
+
+
+def postings(classes: DataFrame) -> DataFrame:
+    """token, cls, n, place (from 1) and parity bits of every prefix token."""
+    own = [f"own.{x}" for x in ("n", *BITS)]
+    posts = classes.select("cls", *own, F.posexplode("own.prefix").alias("place", "token"))
+    return posts.select("token", "cls", "n", (F.col("place") + 1).alias("place"), *BITS)
+
+
+def _able(x: str, y: str, percent: int, bits: tuple[str, ...]) -> Column:
+    """Parity, length and positional filter for a token of two lines."""
+    (nx, px), (ny, py) = ((F.col(f"{a}.n"), F.col(f"{a}.place")) for a in (x, y))
+    differ = reduce(Column.__add__, (F.bit_count(F.col(f"{x}.{b}").bitwiseXOR(F.col(f"{y}.{b}"))) for b in bits))
+    near = (100 + percent) * differ <= (100 - percent) * (nx + ny)
+    long = 100 * F.least(nx, ny) >= percent * F.greatest(nx, ny)
+    return near & long & ((100 + percent) * F.least(nx - px + 1, ny - py + 1) >= percent * (nx + ny))
+
+
+def with_partner(posts: DataFrame, percent: int) -> DataFrame:
+    """The postings that some other line's posting in their list lets pass all filters."""
+    x, y = posts.alias("x"), posts.alias("y")
+    return x.join(y, (F.col("x.token") == F.col("y.token")) & _able("x", "y", percent, BITS) & (F.col("x.cls") != F.col("y.cls")), "left_semi")
+
+
+def _few(ids: DataFrame) -> DataFrame:
+    """Ids marked for broadcast where they are few enough."""
+    return F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids
+
+
+def _verified(pairs: DataFrame, lines: DataFrame, percent: int) -> DataFrame:
+    """cls of each x in pairs(x, y) whose words are similar enough to those of y."""
+    of = lambda a: lines.select(F.col("cls").alias(a), F.col("words").alias(f"{a}w"))
+    both = pairs.join(of("x"), "x").join(of("y"), "y")
     common = F.size(F.array_intersect("xw", "yw"))
-    return saved(both.where((100 + percent) * common >= percent * (F.size("xw") + F.size("yw"))).select(F.col("x").alias("cls")).distinct())
+    return both.where((100 + percent) * common >= percent * (F.size("xw") + F.size("yw"))).select(F.col("x").alias("cls")).distinct()
+
+
+def _pairs(rest: DataFrame, others: DataFrame, on: list[str], percent: int) -> DataFrame:
+    """(x, y): lines of rest with the lines before them in others that agree in `on` and pass all filters."""
+    met = reduce(Column.__and__, (F.col(f"x.{k}") == F.col(f"y.{k}") for k in on))
+    met = met & _able("x", "y", percent, WIDE) & (F.col("y.at") < F.col("x.at"))
+    return rest.alias("x").join(others.alias("y"), met).select(F.col("x.cls").alias("x"), F.col("y.cls").alias("y")).distinct()
 
 
-def verified(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
-    """cls of each line x in pairs(x, y) that is similar to some y before it. The y that x meets in most
-    lists is tried first, and only lines that it doesn't settle are held against all of theirs."""
-    pairs = saved(pairs.groupBy("x", "y").agg(F.count("*").alias("n")))
-    first = pairs.groupBy("x").agg(F.max_by("y", "n").alias("y"))
-    settled = _confirmed(first, classes, percent)
-    rest = pairs.select("x", "y").join(settled.select(F.col("cls").alias("x")), "x", "left_anti")
-    found = settled.union(_confirmed(rest, classes, percent))
-    discard(pairs)
-    return found
+def _in_parts(posts: DataFrame) -> DataFrame:
+    """Each posting in its random part of each division of its list."""
+    parts = (F.lit(k << 16) + F.pmod(F.xxhash64("cls", F.lit(k)), F.lit(n)).cast("int") for k, n in enumerate(PARTS))
+    return posts.withColumn("part", F.explode(F.array(*parts)))
 
 
 def similar_lines(classes: DataFrame, percent: int) -> DataFrame:
     """cls of every distinct line that an earlier one is similar to."""
-    posts = postings(classes, rarity(classes), percent)
-    # Lists of very common words are dealt over tasks: the lowest bits of their tokens give way to a salt.
-    common, low = F.shiftrightunsigned("token", 57) >= COMMON_LEVEL, F.lit(SALTS - 1).cast("bigint")
-    bare = F.when(common, F.col("token").bitwiseAND(F.bitwise_not(low))).otherwise(F.col("token"))
-    salted = F.when(common, bare.bitwiseOR(F.col("cls").bitwiseAND(low))).otherwise(F.col("token"))
-    # Rows are dealt as five longs; the struct is made behind the shuffle.
-    sizes = F.shiftleft(F.col("line.n").cast("bigint"), 31).bitwiseOR(F.col("line.place").cast("bigint"))
-    dealt = posts.select(salted.alias("token"), "cls", "doc", sizes.alias("sizes"), F.col("line.bits").alias("bits")).repartition("token")
-    line = F.struct(F.shiftright("sizes", 31).cast("int").alias("n"), F.col("sizes").bitwiseAND(F.lit((1 << 31) - 1)).cast("int").alias("place"), "bits")
-    salted = dealt.select("token", "cls", "doc", line.alias("line"))
-    own = Window.partitionBy("token").orderBy("doc", "cls")
-    listed = salted.withColumn("head", F.first(F.struct("cls", "line")).over(own.rowsBetween(Window.unboundedPreceding, 0))).withColumn("nth", F.row_number().over(own))
-    listed = listed.withColumn("next", F.lead(F.struct("cls", "line", "doc")).over(own)).withColumn("third", F.lead("doc", 2).over(own))
-    # Lists of two lines are done with their one pair; within a document either line may be the later one.
-    whole = common | (F.col("nth") > 2) | (F.col("nth") == 2) & F.col("next").isNotNull() | (F.col("nth") == 1) & F.col("third").isNotNull()
-    tied = F.coalesce(F.col("next.doc") == F.col("doc"), F.lit(False))
-    star = F.when((F.col("nth") > 1) & _able("line", "head.line", percent), F.col("head.cls")).when((F.col("nth") == 1) & tied & _able("line", "next.line", percent), F.col("next.cls"))
-    listed = listed.select(bare.alias("token"), "cls", "doc", "line", whole.alias("whole"), ((F.col("nth") > 2) | common | tied).alias("later"), star.alias("head"))
-    shared = saved(listed.where("whole or head is not null"))
-    settled = verified(shared.where("head is not null").select(F.col("cls").alias("x"), F.col("head").alias("y")), classes, percent)
-    slim = shared.where("whole").select("token", "cls", "doc", "line")
-    done = F.broadcast(settled) if settled.count() <= BROADCAST_IDS else settled
-    rest = shared.where("whole and later").select(slim.columns).join(done, "cls", "left_anti")
-    met = rest.alias("x").join(slim.alias("y"), (F.col("x.token") == F.col("y.token")) & (F.col("y.doc") <= F.col("x.doc")) & (F.col("x.cls") != F.col("y.cls")) & _able("x.line", "y.line", percent))
-    more = verified(met.select(F.col("x.cls").alias("x"), F.col("y.cls").alias("y")), classes, percent)
-    discard(shared)
+    held = saved(with_partner(postings(classes), percent))
+    ids = saved(held.select("cls").distinct())
+    def known(words: Column) -> Column:
+        hashes = F.transform(words, lambda w: F.xxhash64(F.lit("wide"), w))
+        return F.struct(words.alias("words"), *(b.alias(x) for x, b in zip(WIDE, _parity(hashes, len(WIDE)))))
+
+    lines = classes.select("cls", F.struct("doc", "rk", "pos").alias("at"), "line").join(_few(ids), "cls", "left_semi")
+    lines = saved(lines.select("cls", "at", F.get(F.transform(F.array(words_of(F.col("line"))), known), F.lit(0)).alias("own")))
+    words = lines.select("cls", "own.words")
+    posts = saved(held.drop(*BITS).join(lines.select("cls", "at", *(f"own.{x}" for x in WIDE)), "cls"))
+    # The first line of a part is a partial maximum, not a window: a list of any length is dealt over all tasks.
+    parted = _in_parts(posts)
+    heads = parted.groupBy("token", "part").agg(F.min(F.struct("at", "cls", "n", "place", *WIDE)).alias("first")).select("token", "part", "first.*")
+    settled = saved(_verified(_pairs(parted, heads, ["token", "part"], percent), words, percent))
+    rest = posts.join(_few(settled), "cls", "left_anti")
+    more = saved(_verified(_pairs(rest, posts, ["token"], percent), words, percent))
+    for done in (held, ids, lines, posts):
+        discard(done)
     return settled.union(more)
 
 
-def kept_places(docs: DataFrame, words: int, percent: int) -> DataFrame:
-    """rk and the places of the lines of enough words that stay, for each document that has any."""
-    classes = saved(distinct_lines(docs, words))
-    kept = classes.select("cls", "rk", "pos").join(similar_lines(classes, percent), "cls", "left_anti")
+def kept_places(docs: DataFrame, percent: int) -> DataFrame:
+    """rk and the places of the lines with words that stay, for each document that has any."""
+    classes = saved(with_prefix(distinct_lines(docs), rarity(docs), percent))
+    similar = similar_lines(classes, percent)
+    kept = classes.select("cls", "rk", "pos").join(similar, "cls", "left_anti")
     places = saved(kept.groupBy("rk").agg(F.collect_list("pos").alias("kept")))
     discard(classes)
     return places
 
 
-def _removed(words: int) -> Column:
-    long = F.filter(F.sequence(F.lit(0), F.size("lines") - 1), lambda i: _is_long(F.element_at("lines", i + 1), words))
-    return F.sort_array(F.array_except(long, F.coalesce("kept", F.array().cast("array<int>"))))
+def _with_removed(docs: DataFrame, text: str, places: DataFrame) -> DataFrame:
+    """docs(.., text, rk) with lines instead of text, and the places of the lines that go. Lines are split before
+    the join, so that they are a column, and not an expression, for what looks lines up by their place."""
+    lines = F.split(text, "\n")
+    worded = F.filter(F.transform(lines, lambda line, i: F.when(has_word(line), i)), lambda i: i.isNotNull())
+    split = docs.withColumn("lines", lines).withColumn("worded", worded).drop(text)
+    none = F.array().cast("array<int>")
+    removed = F.coalesce(F.sort_array(F.array_except("worded", F.coalesce("kept", none))), none)
+    return split.join(places, "rk", "left").withColumn("removed", removed).drop("worded", "kept")
 
 
-def line_report(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataFrame:
+def line_report(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     """doc_id, n_lines, n_removed and the places (from 0) of the removed lines of every row."""
     docs = docs.select("doc_id", "text")
-    places = kept_places(docs, words, percent)
-    long = F.filter(F.sequence(F.lit(0), F.size("lines") - 1), lambda i: _is_long(F.element_at("lines", i + 1), words))
-    slim = _keyed(docs.select(F.col("doc_id").cast("long"), "text")).select("doc_id", "rk", F.split("text", "\n").alias("lines")).select("doc_id", "rk", F.coalesce(F.size("lines"), F.lit(0)).alias("n_lines"), long.alias("long"))
-    removed = F.coalesce(F.sort_array(F.array_except("long", F.coalesce("kept", F.array().cast("array<int>")))), F.array().cast("array<int>"))
-    return slim.join(places, "rk", "left").select("doc_id", F.greatest("n_lines", F.lit(0)).cast("long").alias("n_lines"), F.size(removed).cast("long").alias("n_removed"), removed.alias("removed"))
+    told = _with_removed(_keyed(docs), "text", kept_places(docs, percent))
+    n_lines = F.greatest(F.coalesce(F.size("lines"), F.lit(0)), F.lit(0)).cast("long")
+    return told.select("doc_id", n_lines.alias("n_lines"), F.size("removed").cast("long").alias("n_removed"), "removed")
 
 
-def dedup_lines(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataFrame:
+def dedup_lines(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     """docs with the removed lines taken out of text; a document that loses its last word goes."""
     names = [f"c{i}" for i in range(len(docs.columns))]
     plain = docs.toDF(*names)
     doc, text = (names[[c.lower() for c in docs.columns].index(x)] for x in ("doc_id", "text"))
-    places = kept_places(docs.select("doc_id", "text"), words, percent)
-    held = plain.withColumn("rk", F.xxhash64(F.col(doc).cast("long"), text)).join(places, "rk", "left").withColumn("lines", F.split(text, "\n")).withColumn("removed", _removed(words))
-    rest = F.array_join(F.transform(F.array_except(F.sequence(F.lit(0), F.size("lines") - 1), F.col("removed")), lambda i: F.element_at("lines", i + 1)), "\n")
-    shorter = F.when(F.size("removed") > 0, rest).otherwise(F.col(text))
-    changed = held.withColumn("text_now", shorter).where((F.size("removed") <= 0) | F.col("removed").isNull() | F.col("text_now").rlike(r"[^ \t\n\x0B\f\r]"))
-    return changed.select(*(F.col("text_now" if n == text else n).alias(c) for n, c in zip(names, docs.columns)))
+    places = kept_places(docs.select("doc_id", "text"), percent)
+    told = _with_removed(plain.withColumn("rk", F.xxhash64(F.col(doc).cast("long"), text)), text, places)
+    stay = F.array_except(F.sequence(F.lit(0), F.size("lines") - 1), "removed")
+    rest = F.when(F.size("removed") == 0, F.col("lines")).otherwise(F.transform(stay, lambda i: F.element_at("lines", i + 1)))
+    now = told.withColumn("now", F.array_join(rest, "\n"))
+    now = now.where((F.size("removed") == 0) | F.col("now").rlike(r"[^ \t\n\x0B\f\r]"))
+    return now.select(*(F.col("now" if n == text else n).alias(c) for n, c in zip(names, docs.columns)))
