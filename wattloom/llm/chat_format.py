@@ -132,7 +132,7 @@ def format_conversations(turns: DataFrame, template: str = TEMPLATE) -> DataFram
         if out:
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*out), kinds)], names)
 
-    document_batches(turns.sparkSession, 512)
+    document_batches(turns.sparkSession)
     held = turns.select(F.col("conv_id").cast("long"), "turn", "role", "text").repartition("conv_id").sortWithinPartitions("conv_id", "turn", "role", "text")
     return held.select("conv_id", "role", "text").mapInArrow(run, PIECES)
 

@@ -9,17 +9,18 @@ from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
-#: Rows of an Arrow batch of whole documents: a batch of the longest documents must fit beside a JVM.
-DOCUMENT_BATCH = 128
+#: Rows and bytes of an Arrow batch, the same for all operators: a plan made for one may run after another set its own.
+BATCH = {"spark.sql.execution.arrow.maxRecordsPerBatch": "1024", "spark.sql.execution.arrow.maxBytesPerBatch": str(4 << 20)}
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def document_batches(spark: SparkSession, rows: int = DOCUMENT_BATCH) -> None:
-    """Bound the Arrow batches of the plans made from now on in this session."""
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
+def document_batches(spark: SparkSession) -> None:
+    """Bound the Arrow batches of this session, by bytes above all: texts may be long."""
+    for key, value in BATCH.items():
+        spark.conf.set(key, value)
 
 
 def shared_dir(spark: SparkSession) -> str:
