@@ -1,18 +1,20 @@
 """MinHash near-dedup by an inverted join on signature coordinates.
 
-Texts with one set of shingles form a class. A class has a signature of 32 coordinates; two
-classes can only be linked if at least 14 agree (a pair at the threshold misses that with a
-probability of about one in a million). So each class is posted under its rarest coordinates
-only: with c coordinates that any other class shares, under the first c - 14 + 1 of them, and
-under none if c < 14. Two rounds confirm links on whole sets of shingles:
-1. In each posting list every class meets the least one: linear in the list, whatever its length.
-2. Where a list still holds several components, pairs across components are counted in tiles
-   inside tasks, the likeliest first; a pair whose ends have been joined meanwhile is skipped, and
-   a pair is looked at in the first list only that both are posted in.
-Neither round writes out all pairs of a group. Sets and classes are compared by 64-bit hashes.
-Defined results: null, empty and blank texts have no shingles and are linked with nothing; rows
-without doc_id are kept and linked with nothing (component_id null); repeated rows of an id share
-its component; an empty table gives no rows; other columns are ignored.
+Texts with one set of shingles form a class. A class has a signature of 32 coordinates and is posted under each
+coordinate-value pair; two classes can only be linked if at least 14 agree (a pair at the threshold misses that
+with a probability of about one in a million). Collisions are counted as in merging posting lists with skips:
+- Prefix: with c coordinates that any other class shares, a class that agrees in 14 must stand in one of the
+  rarest c - 14 + 1 lists, so only those are merged (none if c < 14). The others are skipped, and looked into, by
+  comparing the two signatures, for pairs that the merged lists bring together.
+- A pair is counted in the first list only that both are posted in, and is skipped if sizes rule out a link or
+  other links join its ends already.
+To that end, first every class meets the first class of its lists, and of random parts of them: linear in a list,
+whatever its length. Where a list still holds several components, pairs across them are counted in tiles of
+bounded size inside tasks, on signatures alone. Pairs above the match threshold are verified by a join with whole
+sets of shingles. No pairs are made within a component. Sets and classes are compared by 64-bit hashes.
+Defined results: null, empty and blank texts have no shingles and are linked with nothing; rows without doc_id are
+kept and linked with nothing (component_id null); a doc_id with several texts is one document that has the links of
+all of them; an empty table gives no rows; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -21,17 +23,19 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window
 
-from wattloom.llm.common import as_bytes, document_batches, partition_index, saved
+from wattloom.llm.common import as_bytes, discard, document_batches, partition_index, saved
 from wattloom.llm.components import components
 
 WORDS, PERCENT = 5, 80
 COORDINATES, AGREE = 32, 14
 #: Classes in a tile's block, and candidate ids that may be broadcast (8 bytes each).
 BLOCK, BROADCAST_IDS = 2048, 1 << 20
+#: Into how many random parts each list falls for its stars.
+PARTS = (1, 16)
 MEMORY = 500_000
 
 _RANDOM = np.random.default_rng(20240229)
@@ -94,25 +98,31 @@ def class_of(found: np.ndarray) -> int:
     return int(np.uint64(xxhash.xxh3_64_intdigest(found.tobytes())).astype(np.int64))
 
 
+def text_key(docs: DataFrame) -> Column:
+    """What rows alike in doc_id and text share."""
+    return F.xxhash64(docs["doc_id"].cast("long"), docs["text"])
+
+
 def signatures(docs: DataFrame, size: int) -> DataFrame:
-    """doc_id, row, n_shingles, cid (the class; null without shingles) and sig of every row."""
-    names = ["doc_id", "row", "n_shingles", "cid", "sig"]
+    """doc_id, key (of doc_id and text), row, n_shingles, cid (the class; null without shingles) and sig of every row."""
+    names = ["doc_id", "key", "row", "n_shingles", "cid", "sig"]
 
     def run(batches):
         hashes, row = word_hashes(), partition_index() << 40
         for b in batches:
             sizes, classes, sigs = [], [], []
-            for x in as_bytes(b.column(1)):
+            for x in as_bytes(b.column(2)):
                 found = shingles(x, size, hashes)
                 sizes.append(len(found))
                 classes.append(class_of(found) if len(found) else None)
                 sigs.append(signature(found) if len(found) else None)
             rows = pa.array(range(row, row + b.num_rows), pa.int64())
             row += b.num_rows
-            yield pa.RecordBatch.from_arrays([b.column(0), rows, pa.array(sizes, pa.int64()), pa.array(classes, pa.int64()), pa.array(sigs, pa.list_(pa.int64()))], names)
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), rows, pa.array(sizes, pa.int64()), pa.array(classes, pa.int64()), pa.array(sigs, pa.list_(pa.int64()))], names)
 
     document_batches(docs.sparkSession)
-    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, "doc_id long, row long, n_shingles long, cid long, sig array<long>")
+    held = docs.select(F.col("doc_id").cast("long"), text_key(docs).alias("key"), "text")
+    return held.mapInArrow(run, "doc_id long, key long, row long, n_shingles long, cid long, sig array<long>")
 
 
 def _sets(docs: DataFrame, size: int) -> DataFrame:
@@ -149,33 +159,24 @@ def confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 
 
 def star_pairs(postings: DataFrame, sigs: DataFrame, agree: int, percent: int) -> DataFrame:
-    """Each class with the least class of each of its lists, if a link is likely."""
-    lists = postings.groupBy("key").agg(F.min("cid").alias("a"), F.count("*").alias("n")).where("n > 1").drop("n")
-    pairs = postings.join(lists, "key").where("cid != a").select("a", F.col("cid").alias("b")).distinct()
+    """Each class with the least class of each of its lists and of its parts of them, if a link is likely."""
+    parts = (F.lit(k << 16) + F.pmod(F.xxhash64("cid", F.lit(k)), F.lit(n)).cast("int") for k, n in enumerate(PARTS))
+    parted = postings.select("key", "cid", F.explode(F.array(*parts)).alias("part"))
+    lists = parted.groupBy("key", "part").agg(F.min("cid").alias("a"), F.count("*").alias("n")).where("n > 1").drop("n")
+    pairs = parted.join(lists, ["key", "part"]).where("cid != a").select("a", F.col("cid").alias("b")).distinct()
     of = lambda x: sigs.select(F.col("cid").alias(x), F.col("n_shingles").alias(f"{x}n"), F.col("sig").alias(f"{x}sig"))
     return pairs.join(of("b"), "b").join(of("a"), "a").where(_likely("a", "b", agree, percent)).select("a", "b")
 
 
-def tile_links(rows: list[tuple], first: int, agree: int, percent: int) -> list[tuple[int, int]]:
-    """Links across components among (cid, comp, sig, keys, members) rows; with first < len(rows) only from
-    the first so many to the rest, otherwise among all. Enough of them to join what they join."""
+def tile_pairs(rows: list[tuple], first: int, agree: int, percent: int):
+    """Likely pairs across components among (cid, component, n, sig, keys) rows, strip by strip; with first < len(rows)
+    only from the first so many to the rest, otherwise among all."""
     whole = first >= len(rows)
-    sig = np.array([r[2] for r in rows], np.int64)
-    comp = np.unique([r[1] for r in rows], return_inverse=True)[1]
-    sizes = np.array([len(r[4]) for r in rows])
-    parent = list(range(int(comp.max()) + 1))
-
-    def find(x: int) -> int:
-        while parent[x] != x:
-            parent[x] = parent[parent[x]]
-            x = parent[x]
-        return x
-
-    found = []
+    ids, comp, sizes = (np.array([r[k] for r in rows], np.int64) for k in (0, 1, 2))
+    sig = np.array([r[3] for r in rows], np.int64)
     step = max(1, (1 << 22) // len(rows))
     for at in range(0, first, step):
-        stop = min(first, at + step)
-        lo = at + 1 if whole else first
+        stop, lo = min(first, at + step), at + 1 if whole else first
         agreed = np.zeros((stop - at, len(rows) - lo), np.uint8)
         for k in range(sig.shape[1]):
             agreed += sig[at:stop, k, None] == sig[None, lo:, k]
@@ -184,23 +185,13 @@ def tile_links(rows: list[tuple], first: int, agree: int, percent: int) -> list[
         if whole:
             able &= np.arange(at, stop)[:, None] < np.arange(lo, len(rows))[None, :]
         i, j = np.nonzero(able)
-        order = np.argsort(-agreed[i, j].astype(np.int16), kind="stable")
-        for i, j in zip((i[order] + at).tolist(), (j[order] + lo).tolist()):
-            a, b = find(comp[i]), find(comp[j])
-            if a == b:
-                continue
-            x, y = rows[i], rows[j]
-            if x[3] and not x[3].isdisjoint(y[3]):
-                continue
-            common = len(x[4]) + len(y[4]) - len(np.union1d(x[4], y[4]))
-            if 100 * common >= percent * (len(x[4]) + len(y[4]) - common):
-                parent[a] = b
-                found.append((x[0], y[0]))
-    return found
+        found = [(int(ids[x]), int(ids[y])) for x, y in zip((i + at).tolist(), (j + lo).tolist()) if rows[x][4].isdisjoint(rows[y][4])]
+        if found:
+            yield found
 
 
-def crossing_links(postings: DataFrame, sets: DataFrame, sigs: DataFrame, comps: DataFrame, agree: int, percent: int, block: int = BLOCK) -> DataFrame:
-    """Links between the components that still share a posting list."""
+def crossing_pairs(postings: DataFrame, sigs: DataFrame, comps: DataFrame, agree: int, percent: int, block: int = BLOCK) -> DataFrame:
+    """Likely pairs (a, b) between the components that still share a posting list."""
     named = postings.join(comps.select(F.col("u").alias("cid"), "component"), "cid", "left").withColumn("component", F.coalesce("component", "cid"))
     mixed = named.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi"), F.count("*").alias("n")).where("lo != hi")
     blocks = F.ceil(F.col("n") / block).cast("int")
@@ -209,18 +200,17 @@ def crossing_links(postings: DataFrame, sets: DataFrame, sigs: DataFrame, comps:
     placed = placed.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     placed = placed.select("cid", "component", "key", "place", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), (F.col("own") > F.col("other")).alias("second"))
     earlier = postings.groupBy("cid").agg(F.sort_array(F.collect_list(F.struct("place", "key"))).alias("keys"))  # at most 19 a class
-    known = sets.join(sigs.select("cid", "sig"), "cid").join(earlier, "cid")
-    full = placed.join(known, "cid").withColumn("keys", F.transform(F.slice("keys", F.lit(1), F.col("place") - 1), lambda k: k["key"])).drop("place")
+    full = placed.join(sigs.join(earlier, "cid"), "cid").withColumn("keys", F.transform(F.slice("keys", F.lit(1), F.col("place") - 1), lambda k: k["key"])).drop("place")
 
     def run(batches):
         from itertools import groupby
 
         def rows():
             for b in batches:
-                cols = {n: b.column(n).to_pylist() for n in ("cid", "component", "key", "i", "j", "second")}
-                sig, keys, members = b.column("sig"), b.column("keys"), b.column("members")
+                cols = {n: b.column(n).to_pylist() for n in ("cid", "component", "n_shingles", "key", "i", "j", "second", "keys")}
+                sig = b.column("sig")
                 for k in range(b.num_rows):
-                    yield (cols["key"][k], cols["i"][k], cols["j"][k]), cols["second"][k], (cols["cid"][k], cols["component"][k], sig[k].values.to_numpy(), frozenset(keys[k].as_py()), members[k].values.to_numpy())
+                    yield (cols["key"][k], cols["i"][k], cols["j"][k]), cols["second"][k], (cols["cid"][k], cols["component"][k], cols["n_shingles"][k], sig[k].values.to_numpy(), frozenset(cols["keys"][k]))
 
         for (_, i, j), tile in groupby(rows(), lambda r: r[0]):
             tile = list(tile)
@@ -228,34 +218,56 @@ def crossing_links(postings: DataFrame, sets: DataFrame, sigs: DataFrame, comps:
             rest = [r[2] for r in tile if r[1]]
             if not own or i != j and not rest:
                 continue
-            links = tile_links(own + rest, len(own), agree, percent)
-            if links:
-                yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*links)], ["a", "b"])
+            for pairs in tile_pairs(own + rest, len(own), agree, percent):
+                yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*pairs)], ["a", "b"])
 
+    document_batches(postings.sparkSession)
     tiles = full.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j", "second", "cid")
     return tiles.mapInArrow(run, "a long, b long")
 
 
-def near_duplicates(docs: DataFrame, size: int = WORDS, percent: int = PERCENT, agree: int = AGREE) -> DataFrame:
-    """doc_id, n_shingles, component_id, kept of every row: one document of each component is kept."""
-    spark = docs.sparkSession
+def linked_classes(docs: DataFrame, size: int, percent: int, agree: int, bridged: bool) -> tuple[DataFrame, DataFrame]:
+    """The signatures of docs, and the first document and class of each class's component (first_doc, first_cid); where
+    bridged, the classes of one doc_id are one node."""
     base = saved(signatures(docs, size))
     real = base.where("cid is not null and doc_id is not null")
     classes = saved(real.groupBy("cid").agg(F.min("doc_id").alias("rep"), F.min_by("row", "doc_id").alias("row")))
     sigs = saved(real.join(classes.select("row"), "row", "left_semi").select("cid", "n_shingles", "sig"))
     postings = saved(prefix_postings(sigs, agree))
-    chosen = classes.join(postings.select("cid").distinct(), "cid", "left_semi").select(F.col("rep").alias("doc_id"))
-    if postings.select("cid").distinct().count() <= BROADCAST_IDS:
+    posted = postings.select("cid").distinct()
+    chosen = classes.join(posted, "cid", "left_semi").select(F.col("rep").alias("doc_id"))
+    if posted.count() <= BROADCAST_IDS:
         chosen = F.broadcast(chosen)
     sets = saved(_sets(docs.select(F.col("doc_id").cast("long"), "text").join(chosen, "doc_id", "left_semi"), size).where("cid is not null"))
     stars = saved(confirmed(star_pairs(postings, sigs, agree, percent), sets, percent))
-    document_batches(spark)
-    crossing = saved(crossing_links(postings, sets, sigs, components(stars), agree, percent))
-    joined = components(stars.unionByName(crossing)).withColumnRenamed("u", "cid")
+    pairs = saved(crossing_pairs(postings, sigs, components(stars), agree, percent))
+    links = stars.unionByName(confirmed(pairs, sets, percent))
+    if bridged:
+        texts = real.select("doc_id", "cid").distinct()
+        several = texts.groupBy("doc_id").agg(F.min("cid").alias("a"), F.count("*").alias("n")).where("n > 1").select("doc_id", "a")
+        links = links.unionByName(texts.join(several, "doc_id").select("a", F.col("cid").alias("b")))
+    joined = saved(components(links).withColumnRenamed("u", "cid"))
     rooted = classes.join(joined, "cid", "left").withColumn("component", F.coalesce("component", "cid"))
-    least = rooted.groupBy("component").agg(F.min("rep").alias("component_id"))
-    of_class = rooted.where("cid != component").select("cid", "component").join(least, "component").select("cid", "component_id")
-    own = rooted.where("cid = component").select("cid", "component").join(least, "component").select("cid", "component_id")
-    told = base.select("doc_id", "n_shingles", "cid").join(own.unionByName(of_class), "cid", "left")
-    component = F.when(F.col("doc_id").isNotNull(), F.coalesce("component_id", "doc_id"))
-    return told.select("doc_id", "n_shingles", component.alias("component_id"), F.coalesce(F.col("doc_id") == component, F.lit(True)).alias("kept"))
+    first = rooted.groupBy("component").agg(F.min(F.struct("rep", "cid")).alias("first"))
+    told = saved(rooted.select("cid", "component").join(first, "component").select("cid", F.col("first.rep").alias("first_doc"), F.col("first.cid").alias("first_cid")))
+    for done in (classes, sigs, postings, sets, stars, pairs, joined):
+        discard(done)
+    return base, told
+
+
+def near_duplicates(docs: DataFrame, size: int = WORDS, percent: int = PERCENT, agree: int = AGREE) -> DataFrame:
+    """doc_id, n_shingles, component_id, kept of every row: one document of each component is kept."""
+    base, told = linked_classes(docs, size, percent, agree, True)
+    out = base.select("doc_id", "n_shingles", "cid").join(told, "cid", "left")
+    # A text without shingles has no class; its document may have another text.
+    component = F.when(F.col("doc_id").isNotNull(), F.coalesce("first_doc", "doc_id"))
+    return out.select("doc_id", "n_shingles", component.alias("component_id"), F.coalesce(F.col("doc_id") == component, F.lit(True)).alias("kept"))
+
+
+def without_near_duplicates(docs: DataFrame, size: int = WORDS, percent: int = PERCENT, agree: int = AGREE) -> DataFrame:
+    """The rows of docs without those whose text is linked with another that stays: of each component of texts the one of
+    the least doc_id. Rows alike in doc_id and text share their fate; those without doc_id or shingles stay."""
+    base, told = linked_classes(docs, size, percent, agree, False)
+    stays = (F.col("doc_id") == F.col("first_doc")) & (F.col("cid") == F.col("first_cid"))
+    dropped = base.where("doc_id is not null").join(told, "cid").where(~stays).select(F.col("key").alias("dropped_key")).distinct()
+    return docs.join(dropped, text_key(docs) == dropped["dropped_key"], "left_anti")
