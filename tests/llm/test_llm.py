@@ -10,6 +10,7 @@ from collections import defaultdict
 import numpy as np
 import public_tokenizers
 import pytest
+from pyspark.sql import functions as F
 
 from wattloom.llm import byte_bpe, chat_format, embedding_dedup, html_extract, license_scan, line_dedup, minhash, packing, quality, queries, token_counts
 from wattloom.llm.components import components
@@ -70,10 +71,46 @@ def test_html_keeps_figures_and_siblings():
     assert html_extract.extract(page).split("\n\n") == [first.strip(), first.strip(), second.strip(), third]
 
 
+def test_html_class_words_are_weights():
+    body = "<p>A long paragraph, with commas, that counts as the text of it.</p><p>Another one, as good as that, for the score.</p>"
+    want = "A long paragraph, with commas, that counts as the text of it.\n\nAnother one, as good as that, for the score."
+    for names in ("page no-sidebar", "content has-comments", "layout-with-sidebar", "promo", "post-share"):
+        assert html_extract.extract(f'<body><div class="{names}">{body}</div></body>') == want, names
+    assert html_extract.extract(f'<article>{body}</article><div class="sidebar"><p>See also, if you like, the other page.</p></div>') == want
+    talk = "<p>I liked this, really, it was the best, ever, and long enough too, as comments go.</p>" * 9
+    assert html_extract.extract(f'<article>{body}</article><section id="comments">{talk}</section>') == want
+    assert html_extract.extract(f'<div class="wrap"><div>{body}</div><div class="comment-list">{talk}</div></div>') == want
+    assert html_extract.extract('<body><div class="ad">Buy</div></body>') == ""
+
+
+def test_html_container_is_not_left_for_its_surroundings():
+    body = "<p>A long paragraph, with commas, that counts as the text of it.</p><p>Another one, as good as that, for the score.</p>"
+    want = "A long paragraph, with commas, that counts as the text of it.\n\nAnother one, as good as that, for the score."
+    around = '<main><header>Site name, and claim</header><article>{}</article><div class="teasers"><p>Read this next, it is good.</p><a href=x>More</a></div></main>'
+    assert html_extract.extract(around.format(body)) == want
+    menu = "<div><a href=a>One page</a> <a href=b>Another page</a> <a href=c>Third</a></div>"
+    assert html_extract.extract(f"<article>{menu}{body}{menu}</article>") == want
+    assert html_extract.extract(f"<article><header><h1>Title</h1><p>By me, today</p></header>{body}</article>") == f"Title\n\n{want}"
+    assert html_extract.extract(f"<article><div>{body}</div><p>End.</p></article>") == f"{want}\n\nEnd."
+    assert html_extract.extract("<article><p>a &<b>amp;</b> b &amp;lt; c</p></article>") == "a &amp; b &lt; c"
+
+
+@pytest.mark.parametrize("text", ["<a ", "<a '", "<a '>' ", "<!-- ", "<b>", "<dd><b>", "<li><b>", "<p><i>", "<script ", "<a \"<", "</b>", "&am", "<tr><td>"])
+def test_html_broken_markup_takes_linear_time(text):
+    import time
+
+    began = time.process_time()
+    assert isinstance(html_extract.extract(text * (1_500_000 // len(text)) + "x"), str)
+    assert time.process_time() - began < 30
+
+
 def test_html_pages(spark):
     rows = [(1, "u", "<article><p>Text one.</p></article>", "t"), (None, None, None, "t"), (1, "u", "<article><p>Text one.</p></article>", "t")]
     df = spark.createDataFrame(rows, "page_id long, url string, html string, text string")
     assert by_row(html_extract.extract_pages(df), "page_id", "text", "n_chars") == [(1, "Text one.", 9), (1, "Text one.", 9), (None, "", 0)]
+    assert html_extract.extract_pages(df.limit(0)).count() == 0
+    clashing = df.withColumn("points", F.lit(1)).withColumn("n_chars", F.lit("x")).withColumn("tag", F.lit(2))
+    assert by_row(html_extract.extract_pages(clashing), "page_id", "n_chars") == [(1, 9), (1, 9), (None, 0)]
     got = queries.op1_html_extraction(spark, SMALL)
     assert got.count() == spark.read.parquet(f"{SMALL}/pages.parquet").count()
     assert got.where("text like '%©%' or text like '%</%' or text = ''").count() == 0
@@ -177,6 +214,37 @@ def test_embeddings(spark):
     assert embedding_dedup.embedding_links(spark.createDataFrame([], "vec_id long, embedding array<float>")).count() == 0
 
 
+def test_embeddings_of_repeated_ids(spark):
+    """An id with several vectors is one node; repeated rows, huge and tiny vectors, clashing columns."""
+    rng = np.random.default_rng(11)
+    base = rng.normal(size=(12, 8))
+    rows = [(int(k % 30), (base[rng.integers(12)] + 0.12 * rng.normal(size=8)) * 10.0 ** rng.integers(-200, 200)) for k in range(90)]
+    rows += [(k, v) for k, v in rows[:20]] + [(500 + k, rows[k][1]) for k in range(5)] + [(0, rows[1][1])]
+    df = spark.createDataFrame([(k, [float(x) for x in v], 1, "c", True) for k, v in rows], "vec_id long, embedding array<double>, cls long, root string, told boolean")
+    near, m = defaultdict(set), [(k, v / np.abs(v).max()) for k, v in rows]
+    m = [(k, v / np.linalg.norm(v)) for k, v in m]
+    for k, v in m:
+        for j, w in m:
+            if k != j and v @ w >= 0.95:
+                near[k].add(j)
+    label = {k: k for k, _ in rows}
+    for _ in label:
+        label = {k: min([label[k], *(label[j] for j in near[k])]) for k in label}
+    got = embedding_dedup.embedding_links(df).collect()
+    assert len(got) == len(rows) and len(set(label.values())) < len(label)
+    for r in got:
+        k = r["vec_id"]
+        assert (r["n_links"], r["component_id"], r["kept"]) == (len(near[k]), label[k], label[k] == k)
+
+
+def test_int8_products_are_exact():
+    rng = np.random.default_rng(4)
+    for width in (3, 64, 1024, 1500, 3000):
+        a = rng.choice([-127, 127, 126, 3], size=(5, width)).astype(np.int8)
+        b = np.concatenate([a[:2], rng.integers(-127, 128, size=(5, width))]).astype(np.int8)
+        assert (embedding_dedup.products(a, b) == a.astype(np.int64) @ b.astype(np.int64).T).all()
+
+
 @pytest.mark.parametrize("width", [64, 256, 1000])
 def test_embedding_slack(width, monkeypatch):
     """The slack of the tile product is at least the error bound of a float32 sum of that width, and tile() takes it."""
@@ -228,6 +296,8 @@ def test_chat(spark):
         assert got[c]["turns_sha256"] == hashlib.sha256("".join(f"{r}\n{x}\n" for r, x in turns).encode()).hexdigest()
         assert (got[c]["loss_chars"], got[c]["loss_sha256"]) == (len(loss), hashlib.sha256(loss.encode()).hexdigest())
     assert got[1]["formatted_chars"] == sum(len(r["text"]) for r in pieces.where("conv_id = 1").collect())
+    clashing = df.withColumn("place", F.lit("x")).withColumn("spans", F.lit(1)).withColumn("n_turns", F.lit(2))
+    assert {r["conv_id"]: r.asDict() for r in chat_format.conversation_digests(chat_format.format_conversations(clashing)).collect()} == got
     assert chat_format.conversation_digests(chat_format.format_conversations(df.limit(0))).count() == 0
 
 
@@ -276,6 +346,23 @@ def test_packing_balances():
     assert max(cost[s] for s in whole) < 1.6 * min(cost[s] for s in whole)
 
 
+def test_line_families(spark):
+    """Near copies of one line, long lines, odd white space: the same lines go as by brute force."""
+    rng = random.Random(12)
+    base, rows = [f"f{k}" for k in range(40)], []
+    for k in range(60):
+        words = list(base)
+        for _ in range(rng.randrange(6)):
+            words[rng.randrange(40)] = f"x{rng.randrange(30)}"
+        rows.append((k, " ".join(words) + "\n" + "  ".join(words[:20]) + "\n" + "\t".join(words[20:]) + " \n" + " " + " ".join(reversed(words))))
+    rows += [(100 + k, " ".join(rng.choices([f"w{j}" for j in range(900)], k=400))) for k in range(12)]
+    removed = brute_lines(rows)
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    for r in line_dedup.line_report(df).collect():
+        assert r["removed"] == removed[r["doc_id"]], r["doc_id"]
+    assert sum(map(len, removed.values())) > 60
+
+
 def brute_near(rows, size, percent=80):
     sets = {}
     for i, t in rows:
@@ -303,13 +390,30 @@ def test_near_duplicates(docs, empty, size):
     assert minhash.near_duplicates(empty).count() == 0
 
 
+def test_near_duplicates_of_repeated_ids(spark):
+    """An id with several texts is one document to the report; the filter goes by texts and loses none."""
+    rng = random.Random(3)
+    a, b, c = (" ".join(rng.choices([f"w{k}" for k in range(300)], k=50)) for _ in range(3))
+    rows = [(1, a), (2, a), (2, b), (2, b), (3, b + " more"), (4, c), (5, None), (5, c), (None, a), (6, ""), (6, "")]
+    df = spark.createDataFrame([(i, t, 1, "s", True, 2) for i, t in rows], "doc_id long, text string, key long, sig string, kept boolean, cid long")
+    got = by_row(minhash.near_duplicates(df), "doc_id", "component_id", "kept")
+    want = [(1, 1, True), (2, 1, False), (2, 1, False), (2, 1, False), (3, 1, False), (4, 4, True), (5, 4, False), (5, 5, True), (6, 6, True), (6, 6, True), (None, None, True)]
+    assert got == sorted(want, key=str)
+    left = minhash.without_near_duplicates(df)
+    assert left.columns == df.columns
+    assert by_row(left, "doc_id", "text") == sorted([(1, a), (2, b), (2, b), (4, c), (5, None), (None, a), (6, ""), (6, "")], key=str)
+    assert minhash.without_near_duplicates(df.limit(0)).count() == 0
+
+
 def test_tiles_find_what_stars_miss():
     """Links between components in one list, found in tiles of either kind."""
     rng = np.random.default_rng(1)
     sets = [np.unique(rng.integers(0, 1 << 60, 100).astype(np.uint64)) for _ in range(2)]
     sets += [np.unique(np.concatenate([sets[0][:95], sets[1][:5]]))]
-    rows = [(k, k, minhash.signature(s), frozenset(), s) for k, s in enumerate(sets)]
-    assert minhash.tile_links(rows, 3, 14, 80) == [(0, 2)] == minhash.tile_links(rows, 1, 14, 80)
+    rows = [(k, k, len(s), minhash.signature(s), frozenset()) for k, s in enumerate(sets)]
+    assert list(minhash.tile_pairs(rows, 3, 14, 80)) == [[(0, 2)]] == list(minhash.tile_pairs(rows, 1, 14, 80))
+    joined = [(k, 5 * (k != 1), *r[2:]) for k, r in enumerate(rows)]
+    assert not list(minhash.tile_pairs(joined, 3, 14, 80))
 
 
 def test_components(spark):
@@ -400,7 +504,7 @@ def test_pipeline(spark):
                 assert now.get(i, "") == rest if i in now else not rest.split()
         if name == "MinHash near-dedup":
             n, label = brute_near(before.items(), 5)
-            assert set(now) == {i for i in before if label[i] == i}
+            assert set(now) == {i for i in before if label[i] == i} and after.count() == len(now)
         shown = after
     packed = corpus_pipeline.STAGES[3][1](spark, shown, SMALL)
     assert {r["doc_id"] for r in packed.collect()} == {r["doc_id"] for r in shown.collect()}
