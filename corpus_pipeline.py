@@ -32,9 +32,8 @@ def line_deduplication(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 
 def near_deduplication(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The first document of each group of near copies, by five-word shingles."""
-    dropped = minhash.near_duplicates(docs).where("not kept").select("doc_id").distinct()
-    return docs.join(dropped, docs["doc_id"].cast("long") == dropped["doc_id"], "left_anti")
+    """The first text of each group of near copies, by five-word shingles."""
+    return minhash.without_near_duplicates(docs)
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
