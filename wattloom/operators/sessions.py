@@ -1,8 +1,10 @@
 """The session state machine over a batch of arrivals, as window functions; session facts.
 
 A session id is active after a START and inactive after a stop, fault or faulted status, whatever
-came before, so its state is that of the last such event: no recursion. A session id keeps one
-identity; events that name another than its first START are errors and change nothing.
+came before, so its state is that of the last such event: no recursion. While a session is open it has
+the identity of its START; events that name another are errors and change nothing. Only for ids whose
+STARTs name several identities does the state depend on what was refused before: those, and no others,
+go through a fold of their sorted events.
 """
 
 from __future__ import annotations
@@ -21,6 +23,28 @@ def is_faulted(status: Column) -> Column:
     return F.lower(F.btrim(status)) == "faulted"
 
 
+def _folded(events: DataFrame) -> DataFrame:
+    """session_key, event_no, copy and the state before each event: whether the session is open, and its identity."""
+    held = F.struct(*ARRIVAL, "candidate", "is_start", "is_end", "identity")
+    none = F.lit(None).cast(events.schema["identity"].dataType)
+
+    def step(state: Column, e: Column) -> Column:
+        moves = e["candidate"] & (~state["open"] | (state["identity"] == e["identity"]))
+        opens, ends = moves & e["is_start"] & ~state["open"], moves & e["is_end"] & state["open"]
+        before = F.struct(e["event_no"].alias("event_no"), e["copy"].alias("copy"), state["open"].alias("open"), state["identity"].alias("identity"))
+        return F.struct(
+            F.when(opens, True).when(ends, False).otherwise(state["open"]).alias("open"),
+            F.when(opens, e["identity"]).otherwise(state["identity"]).alias("identity"),
+            F.array_append(state["seen"], before).alias("seen"),
+        )
+
+    empty = F.array().cast(f"array<struct<event_no:{events.schema['event_no'].dataType.simpleString()},copy:{events.schema['copy'].dataType.simpleString()},open:boolean,identity:{events.schema['identity'].dataType.simpleString()}>>")
+    first = F.struct(F.lit(False).alias("open"), none.alias("identity"), empty.alias("seen"))
+    folded = events.groupBy("session_key").agg(F.sort_array(F.collect_list(held)).alias("events"))
+    folded = folded.select("session_key", F.explode(F.aggregate("events", first, step, lambda state: state["seen"])).alias("state"))
+    return folded.select("session_key", "state.event_no", "state.copy", c("state.open").alias("f_open"), c("state.identity").alias("f_identity"))
+
+
 def session_verdicts(admitted: DataFrame) -> DataFrame:
     """Adds active, all_errors, warning, accepted, applied, outcome and epoch to admitted arrivals.
 
@@ -32,10 +56,16 @@ def session_verdicts(admitted: DataFrame) -> DataFrame:
     closes = c("event_type").isin("SESSION_STOP", "FAULT_ALERT") | (c("event_type") == "STATUS_CHANGE") & is_faulted(c("new_status"))
     identity = F.struct("station_id", "connector_id", "operator_id")
     has = F.coalesce(c("session_id"), F.lit("")) != ""
-    kept = admitted.withColumn("session_key", key).withColumn("first_identity", F.first(F.when(c("candidate") & start, identity), ignorenulls=True).over(own))
+    started = F.when(c("candidate") & start & has, identity)
+    whole = Window.partitionBy("session_key")
+    kept = admitted.withColumn("session_key", key).withColumn("identity", identity).withColumn("first_identity", F.min(started).over(whole))
+    kept = kept.withColumn("mixed", F.coalesce(F.max(started).over(whole) != c("first_identity"), F.lit(False)))
     strange = c("first_identity").isNotNull() & (c("first_identity") != identity)
     kept = kept.withColumn("moves", c("candidate") & has & ~F.coalesce(strange, F.lit(False)))
     kept = kept.withColumn("active", F.coalesce(F.last(F.when(c("moves") & start, True).when(c("moves") & closes, False), ignorenulls=True).over(before), F.lit(False)))
+    mixed = kept.where("mixed").select("session_key", *ARRIVAL, "candidate", start.alias("is_start"), closes.alias("is_end"), "identity")
+    kept = kept.join(_folded(mixed), ["session_key", "event_no", "copy"], "left")
+    kept = kept.withColumn("active", F.coalesce("f_open", "active")).withColumn("first_identity", F.when(c("mixed"), c("f_identity")).otherwise(c("first_identity"))).drop("f_open", "f_identity", "identity", "mixed")
     clash = lambda x: F.when(c("active") & (c(f"first_identity.{x}") != c(x)), f"session identity mismatch: {x}")
     stateful = F.array_compact(F.array(clash("station_id"), clash("connector_id"), clash("operator_id"), F.when(start & c("active"), "SESSION_START received for already-active session_id"), F.when((c("event_type") == "SESSION_STOP") & has & ~c("active"), "SESSION_STOP without active session context is invalid")))
     kept = kept.withColumn("all_errors", F.concat("errors", stateful)).withColumn("accepted", c("candidate") & (F.size("all_errors") == 0))
