@@ -40,6 +40,11 @@ def _number(path: str) -> Column:
     return F.when((kind == "BIGINT") | kind.startswith("DECIMAL") | (kind == "DOUBLE"), _get(path, "double")).when(kind == "BOOLEAN", _get(path, "boolean").cast("double"))
 
 
+def event_id() -> Column:
+    """The event id of a parsed record's body."""
+    return _text("$.event_id")
+
+
 def timestamp(text: Column) -> Column:
     return F.when(text.rlike(_TIME), F.try_to_timestamp(F.btrim(text)))
 
@@ -49,15 +54,24 @@ def _not_text(field: str) -> Column:
     return F.when(text.isNull() | text.rlike(r"^\s*$"), F.lit(f"{field} must be a non-empty string"))
 
 
-def _by_type(which) -> Column:
-    """The payload fields that a type needs (or may have), looked up in a literal map."""
-    return F.create_map(*(x for kind in EVENT_TYPES for x in (F.lit(kind), F.array(*map(F.lit, which(*PAYLOAD_FIELDS[kind]))))))[c("event_type")]
+def _by_type(of) -> Column:
+    """What `of` makes of the required and optional payload fields of the record's type; only that is worked out."""
+    out = None
+    for kind in EVENT_TYPES:
+        value = of(*PAYLOAD_FIELDS[kind])
+        out = F.when(c("event_type") == kind, value) if out is None else out.when(c("event_type") == kind, value)
+    return out
+
+
+def _names(fields: tuple[str, ...]) -> Column:
+    return F.array(*map(F.lit, fields))
 
 
 def _payload_errors() -> list[Column]:
-    keys, start = F.json_object_keys(F.to_json(_get("$.payload"))), F.concat(F.lit("Invalid payload for "), "event_type")
-    missing, extra = F.array_except(_by_type(lambda needed, optional: needed), keys), F.array_except(keys, _by_type(lambda needed, optional: needed + optional))
-    wrong = F.array_compact(F.array(*(F.when(~_value_fits(f), F.lit(f)) for f in (*TEXT_FIELDS, *NUMBER_FIELDS, "recoverable"))))
+    keys, start = c("payload_keys"), F.concat(F.lit("Invalid payload for "), "event_type")
+    missing = F.array_except(_by_type(lambda needed, optional: _names(needed)), keys)
+    extra = F.array_except(keys, _by_type(lambda needed, optional: _names(needed + optional)))
+    wrong = _by_type(lambda needed, optional: F.array_compact(F.array(*(F.when(~_value_fits(f), F.lit(f)) for f in needed + optional))))
     return [F.when(F.size(x) > 0, F.concat(start, F.lit(text), F.array_join(F.array_sort(x), ", "))) for x, text in ((missing, ": missing "), (extra, ": unexpected "), (wrong, ": wrong type of "))]
 
 
@@ -84,9 +98,11 @@ def parsed(log: DataFrame) -> DataFrame:
         .when(~F.schema_of_variant("body").startswith("OBJECT"), "event_must_be_json_object")
     )
     base = base.drop("whole").withColumn("parse_error", parse_error).withColumn("event_type", F.when(parse_error.isNull(), _text("$.event_type")))
-    base = settled(base, "parse_error", "event_type")
-    keys = F.json_object_keys("text")
-    missing = F.array_except(F.array(*map(F.lit, REQUIRED_FIELDS)), keys)
+    # The names of an object's fields come from the parsed value; the text is parsed once.
+    names = lambda path: F.map_keys(_get(path, "map<string,variant>"))
+    base = base.withColumn("keys", names("$")).withColumn("payload_keys", names("$.payload"))
+    base = settled(base, "parse_error", "event_type", "keys", "payload_keys")
+    missing = F.array_except(F.array(*map(F.lit, REQUIRED_FIELDS)), c("keys"))
     bad_time = lambda f: F.when(timestamp(_text(f"$.{f}")).isNull(), F.concat(F.lit(f"Invalid timestamp for {f}: "), _text(f"$.{f}")))
     sequence, session = _kind("$.sequence_no"), _kind("$.session_id")
     of = lambda f: F.when(~F.coalesce((k := _kind(f"$.location.{f}")).startswith("DECIMAL") | k.isin("BIGINT", "DOUBLE", "BOOLEAN", "VOID"), F.lit(True)), F.lit(f"location.{f} must be numeric when present"))
@@ -111,7 +127,7 @@ def parsed(log: DataFrame) -> DataFrame:
         of("longitude"),
     )
     checked = base.withColumn("errors", F.array_compact(F.concat(F.array("parse_error"), F.when(c("parse_error").isNull(), schema_errors).otherwise(F.array(F.lit(None).cast("string"))))))
-    out = settled(checked, "errors").withColumn("error_reason", F.get("errors", F.lit(0))).drop("parse_error", "errors")
+    out = settled(checked, "errors").withColumn("error_reason", F.get("errors", F.lit(0))).drop("parse_error", "errors", "keys", "payload_keys")
     return out.withColumn("error_class", F.when(c("error_reason").isin(*PARSE_REASONS), "parse").when(c("error_reason").isNotNull(), "schema"))
 
 
@@ -138,13 +154,13 @@ def dead_letters(parsed_log: DataFrame) -> DataFrame:
     )
 
 
-def dead_letter_messages(letters: DataFrame) -> DataFrame:
-    """key and JSON value of each dead letter, as they go to a topic."""
-    record = F.struct("error_reason", "failed_at", F.struct("topic", "partition", "offset").alias("source"), F.struct("event_id", "event_type", "station_id").alias("event"), "raw_payload_json")
+def dead_letter_messages(letters: DataFrame, routed_at: Column | None = None) -> DataFrame:
+    """key and JSON value of each dead letter, as they go to a topic; routed_at is now unless given."""
+    routed = F.current_timestamp() if routed_at is None else routed_at
+    record = F.struct("error_reason", "failed_at", routed.alias("routed_at"), F.struct("topic", "partition", "offset").alias("source"), F.struct("event_id", "event_type", "station_id").alias("event"), "raw_payload_json")
     return letters.select(F.coalesce("station_id", "event_id").alias("key"), F.to_json(record).alias("value"))
 
 
-#: The fields that an arrival's payload takes from its columns, by type.
 def to_log(events: DataFrame, topic: str = "raw") -> DataFrame:
     """Arrivals as log records: JSON values, a station's records in one partition; used by tests and queries."""
     payload = F.lit(None).cast("string")

@@ -68,9 +68,14 @@ def file_log(spark: SparkSession, path: str, max_files: int = 1) -> DataFrame:
 
 
 def text_log(spark: SparkSession, path: str, topic: str = "raw") -> DataFrame:
-    """A stream of log records from files of JSON lines; the file is the partition, arrival its timestamp."""
-    lines = spark.readStream.text(path)
-    return lines.select(F.lit(None).cast("binary").alias("key"), F.col("value").cast("binary").alias("value"), F.lit(topic).alias("topic"), F.lit(0).alias("partition"), F.monotonically_increasing_id().alias("offset"), F.current_timestamp().alias("timestamp"))
+    """A stream of log records from files of JSON lines. A line's place is its file and the block it was read with: its
+    timestamp is the file's, its offset a hash of place and text, as a stream has no line numbers; lines alike in a
+    file are one record."""
+    lines = spark.readStream.text(path).select("value", "_metadata.file_path", "_metadata.file_modification_time", "_metadata.file_block_start")
+    place = F.xxhash64("file_path", "file_block_start", "value").bitwiseAND(F.lit((1 << 62) - 1))
+    value = F.col("value").cast("binary").alias("value")
+    partition = F.pmod(F.xxhash64("file_path"), F.lit(1 << 16)).cast("int").alias("partition")
+    return lines.select(F.lit(None).cast("binary").alias("key"), value, F.lit(topic).alias("topic"), partition, place.alias("offset"), F.col("file_modification_time").alias("timestamp"))
 
 
 def kafka_log(spark: SparkSession, settings: Settings) -> DataFrame:

@@ -18,7 +18,7 @@ def _struct(ddl: str) -> T.StructType:
 
 
 STATE = _struct("operator_id string, station_id string, connector_id string, city string, country string, started_us long, last_us long, start_event_id string, last_sequence_no long, meters long, energy double, power_sum double, power_samples long, power_max double, brand string, tariff_id string, tariff double, epoch long")
-OUTPUT = _struct("session_id string, kind string, event_id string, error_reason string, epoch long, operator_id string, station_id string, connector_id string, city string, country string, started_us long, last_event_us long, start_event_id string, stop_event_id string, vehicle_brand string, tariff_id string, tariff double, meter_update_count long, energy double, power_sum double, power_samples long, power_max double, stop_reason string, finalized_reason string")
+OUTPUT = _struct("session_id string, kind string, event_id string, error_reason string, event_us long, epoch long, operator_id string, station_id string, connector_id string, city string, country string, started_us long, last_event_us long, start_event_id string, stop_event_id string, vehicle_brand string, tariff_id string, tariff double, meter_update_count long, energy double, power_sum double, power_samples long, power_max double, stop_reason string, finalized_reason string")
 _FIELDS = [f.name for f in STATE]
 
 
@@ -66,10 +66,10 @@ def transition(state: dict | None, e: dict, epoch: int) -> tuple[dict | None, st
     return None, reason, None, done | {"finalized_reason": reason}
 
 
-def _row(session_id, kind, event_id=None, error=None, s=None) -> Row:
+def _row(session_id, kind, event_id=None, error=None, s=None, us=None) -> Row:
     s = s or {}
     names = {"last_event_us": "last_us", "vehicle_brand": "brand", "meter_update_count": "meters"}
-    values = {"session_id": session_id, "kind": kind, "event_id": event_id, "error_reason": error}
+    values = {"session_id": session_id, "kind": kind, "event_id": event_id, "error_reason": error, "event_us": us}
     return Row(**{f.name: values.get(f.name, s.get(names.get(f.name, f.name))) for f in OUTPUT})
 
 
@@ -96,7 +96,7 @@ class SessionProcessor(StatefulProcessor):
             state, outcome, error, done = transition(state, r, epoch)
             if outcome == "session_started":
                 epoch = state["epoch"]
-            yield _row(key[0], outcome, r["event_id"], error, state)
+            yield _row(key[0], outcome, r["event_id"], error, state, r["us"])
             if done:
                 yield _row(key[0], "fact", None, None, done)
         if state is None:
