@@ -61,5 +61,7 @@ def city_day_faults(events: DataFrame) -> DataFrame:
     known = lambda x: F.coalesce(F.when(c(x) != "", c(x)), F.lit("unknown"))
     faults = events.where("event_type = 'FAULT_ALERT'").select(F.to_date("event_time").alias("bucket_day"), "operator_id", known("country").alias("country_code"), known("city").alias("city"), "station_id", known("fault_code").alias("code"))
     keys = ["bucket_day", "operator_id", "country_code", "city"]
-    codes = faults.groupBy(*keys, "code").agg(F.count("*").alias("n"), F.collect_set("station_id").alias("stations"))
-    return codes.groupBy(*keys).agg(F.sum("n").cast("bigint").alias("fault_count"), F.size(F.array_distinct(F.flatten(F.collect_list("stations")))).cast("bigint").alias("distinct_station_count"), F.max_by("code", F.struct("n", "code")).alias("most_common_fault_code"))
+    codes = faults.groupBy(*keys, "code").agg(F.count("*").alias("n"))
+    most = codes.groupBy(*keys).agg(F.sum("n").cast("bigint").alias("fault_count"), F.max_by("code", F.struct("n", "code")).alias("most_common_fault_code"))
+    stations = faults.groupBy(*keys).agg(F.count_distinct("station_id").alias("distinct_station_count"))
+    return most.join(stations, keys).select(*keys, "fault_count", "distinct_station_count", "most_common_fault_code")

@@ -64,7 +64,11 @@ def sql(name: str, as_of: str, naive: str) -> str:
 
 
 def run(spark: SparkSession, name: str, views: dict[str, DataFrame], as_of: str) -> DataFrame:
-    """One query over these tables; as_of is an ISO timestamp."""
+    """One query over these tables; as_of is an ISO timestamp. Their names hold for the time of analysis only."""
     for view, df in views.items():
         df.createOrReplaceTempView(view)
-    return spark.sql(sql(name, ":as_of", "TIMESTAMP_NTZ").replace(":as_of", "CAST(:as_of AS TIMESTAMP)"), args={"as_of": as_of})
+    try:
+        return spark.sql(sql(name, ":as_of", "TIMESTAMP_NTZ").replace(":as_of", "CAST(:as_of AS TIMESTAMP)"), args={"as_of": as_of})
+    finally:
+        for view in views:
+            spark.catalog.dropTempView(view)

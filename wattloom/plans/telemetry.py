@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from wattloom.functions.schema import ALLOWED_LATENESS, INACTIVITY_TIMEOUT
 from wattloom.operators import admission, rollups, serving
 from wattloom.operators import sessions as machine
+from wattloom.sources import tables
 from wattloom.sources.adapter import arrivals
 
 #: The present of the test tables: the sweep and all relative times count from it.
@@ -72,3 +73,19 @@ class Telemetry:
 
     def views(self) -> dict[str, DataFrame]:
         return {"raw_events": self.raw_events, "fact_sessions": self.facts, "agg_station_minute": self.station_minute, "agg_operator_hour": self.operator_hour, "agg_city_day_faults": self.city_day_faults}
+
+    def history(self, root: str) -> None:
+        """Write the history and rollup tables, as a run over the log would leave them."""
+        for name, df in self.views().items():
+            flat = df.select(*(x for x, kind in df.dtypes if not kind.startswith(("array", "struct"))))
+            tables.append(flat, root, name)
+
+
+def stored_views(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    """The tables that the analytical queries read. They are written once for a state of the events table (its files' sizes
+    and times), by the first query that needs them; all others scan them."""
+    root = f"{tables.shared_root(spark)}/{tables.state_of(spark, f'{sf_dir}/events.parquet')}"
+    if not tables.is_marked(spark, root):
+        Telemetry.of(spark, sf_dir).history(root)
+        tables.mark(spark, root)
+    return {name: tables.read(spark, root, name) for name in ("raw_events", "fact_sessions", "agg_station_minute", "agg_operator_hour", "agg_city_day_faults")}
