@@ -93,7 +93,7 @@ def with_faults(events: DataFrame, duplicates: float, late: float, out_of_order:
     u = lambda k: chance(seed, k, "event_id")
     base = events.withColumn("release_at", c("event_time") + F.make_dt_interval(secs=F.when(u(1) < out_of_order, F.floor(5 + 25 * u(2))).otherwise(0)))
     again = base.where(u(3) < duplicates)
-    old = base.where(~c("event_type").isin("SESSION_START", "SESSION_STOP") & (u(4) < late)).withColumn("event_id", F.concat("event_id", F.lit("-late"))).withColumn("event_time", c("event_time") - F.make_dt_interval(secs=threshold_s + F.floor(20 + 220 * u(5))))
+    old = base.where(~c("event_type").isin("SESSION_START", "SESSION_STOP") & (u(4) < late)).withColumn("event_time", c("event_time") - F.make_dt_interval(secs=threshold_s + F.floor(20 + 220 * u(5)))).withColumn("event_id", F.concat("event_id", F.lit("-late")))
     return base.unionByName(again).unionByName(old)
 
 

@@ -75,10 +75,14 @@ class Telemetry:
         return {"raw_events": self.raw_events, "fact_sessions": self.facts, "agg_station_minute": self.station_minute, "agg_operator_hour": self.operator_hour, "agg_city_day_faults": self.city_day_faults}
 
     def history(self, root: str) -> None:
-        """Write the history and rollup tables, as a run over the log would leave them."""
-        for name, df in self.views().items():
+        """Write the history and rollup tables, as a run over the log would leave them. Verdicts come first: all others are
+        made from the written ones, so that admission and sessions run once."""
+        self.verdicts.write.mode("overwrite").parquet(f"{root}/verdicts")
+        held = Telemetry(self.arrivals, allowed=self.allowed, timeout=self.timeout)
+        held.as_of, held.verdicts = self.as_of, self.arrivals.sparkSession.read.parquet(f"{root}/verdicts")
+        for name, df in held.views().items():
             flat = df.select(*(x for x, kind in df.dtypes if not kind.startswith(("array", "struct"))))
-            tables.append(flat, root, name)
+            tables.write(flat, root, name)
 
 
 def stored_views(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:

@@ -152,7 +152,7 @@ register("serving_guarded_upsert", _upsert, over(ARRIVALS + f", r AS (SELECT *,
 
 register("serving_timeout_states", lambda t: serving.timeout_states(t.finalized.where("finalized_reason = 'inactivity_timeout'"), t.as_of).drop("energy_kwh_last"), over(FACTS, f"SELECT station_id, connector_id, operator_id, TIMESTAMP '{AS_OF}' AS event_time, last_event_time AS last_meter_time, 'available' AS status, '' AS session_id, 0.0::DOUBLE AS power_kw, coalesce(vehicle_brand, '') AS vehicle_brand, '' AS fault_code FROM fin WHERE finalized_reason = 'inactivity_timeout'"))
 register("serving_live_sessions", lambda t: serving.live(serving.session_state(t.serving_inputs), F.lit("2024-01-29 00:00:00").cast("timestamp")).groupBy("status").agg(F.count("*").alias("n")), over(_SERVING, """SELECT status, count(*) AS n FROM (SELECT event_time, CASE WHEN ends THEN 'finalized' WHEN s_count > 0 THEN 'charging' ELSE 'active' END AS status, CASE WHEN ends THEN 3600 ELSE 86400 END AS ttl FROM (SELECT *, row_number() OVER (PARTITION BY session_id ORDER BY epoch_ms(event_time) DESC, event_time DESC, event_no DESC, copy DESC) AS r FROM sp WHERE has_session AND session_id IS NOT NULL AND (event_type <> 'METER_UPDATE' OR metered)) WHERE r = 1)
-  WHERE epoch_us(TIMESTAMP '2024-01-29 00:00:00') < epoch_us(event_time) + ttl * 1000000 GROUP BY status"""))
+  WHERE epoch_us(TIMESTAMP '2024-01-29 00:00:00') < epoch_us(event_time) + CAST(ttl AS BIGINT) * 1000000 GROUP BY status"""))
 register("serving_key_scan", lambda t: serving.keys_like(serving.station_state(t.serving_inputs), "ST-1", 100), over(ROLLUPS, "SELECT DISTINCT station_id FROM counted WHERE station_id LIKE 'ST-1%'"))
 register("serving_point_read", lambda t: serving.point_read(serving.session_state(t.serving_inputs), "session_id", ["3-1", "40-1", "nobody"]).select("session_id", "station_id", "meter_update_count", "status"), over(_SERVING, """SELECT session_id, station_id, s_count AS meter_update_count, CASE WHEN ends THEN 'finalized' WHEN s_count > 0 THEN 'charging' ELSE 'active' END AS status
   FROM (SELECT *, row_number() OVER (PARTITION BY session_id ORDER BY epoch_ms(event_time) DESC, event_time DESC, event_no DESC, copy DESC) AS r FROM sp WHERE has_session AND session_id IN ('3-1', '40-1', 'nobody') AND (event_type <> 'METER_UPDATE' OR metered)) WHERE r = 1"""))

@@ -58,11 +58,21 @@ def mark(spark: SparkSession, root: str) -> None:
     files.create(where, True).close()
 
 
+def _laid_out(df: DataFrame, name: str) -> DataFrame:
+    """Rows with their month, sorted as the table's files are."""
+    at, order = LAYOUT[name]
+    return df.withColumn("yyyymm", F.date_format(at, "yyyyMM").cast("int")).sortWithinPartitions("yyyymm", *order)
+
+
+def write(df: DataFrame, root: str, name: str) -> None:
+    """A whole table, by month; what was there is replaced."""
+    _laid_out(df, name).write.mode("overwrite").partitionBy("yyyymm").parquet(f"{root}/{name}")
+
+
 def append(df: DataFrame, root: str, name: str, batch_id: int | None = None) -> None:
     """Append to a table, by month, sorted within files. With a batch id the batch has a folder of its own,
     which a repeat of the batch overwrites: the write is idempotent."""
-    at, order = LAYOUT[name]
-    rows = df.withColumn("yyyymm", F.date_format(at, "yyyyMM").cast("int")).sortWithinPartitions("yyyymm", *order)
+    rows = _laid_out(df, name)
     if batch_id is None:
         rows.write.mode("append").partitionBy("yyyymm").parquet(f"{root}/{name}")
     else:
