@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from wattloom.llm.common import document_batches, saved
+from wattloom.llm.common import discard, document_batches, saved
 from wattloom.llm.components import components
 
 COSINE = 0.95
@@ -178,11 +178,15 @@ def embedding_links(vectors: DataFrame, cosine: float = COSINE) -> DataFrame:
     joined = saved(components(edges.union(bridges)))
     ways = found.where("links is null").select("cls", "root")
     ways = ways.union(ways.select("root", "cls")).union(slim.where("told").select("cls", F.col("cls").alias("root")))
-    of_many, again = _links_of_many(several, members, slim, saved(ways))
+    ways = saved(ways)
+    of_many, again = _links_of_many(several, members, slim, ways)
     told = slim.join(sums, "cls", "left").join(joined.withColumnRenamed("u", "vec"), "vec", "left").join(again, "cls", "left")
     n_links = F.coalesce("links", F.lit(0)) + F.col("copies") - 1 - F.coalesce("again", F.lit(0))
-    told = told.select("cls", n_links.alias("n_links"), F.coalesce("component", "vec").alias("component_id"))
-    out = keyed.select("vec_id", "cls").join(told, "cls", "left").join(of_many.withColumnRenamed("n_links", "many"), "vec_id", "left")
+    told = saved(told.select("cls", n_links.alias("n_links"), F.coalesce("component", "vec").alias("component_id")))
+    many = saved(of_many.withColumnRenamed("n_links", "many"))
+    for done in (members, several, classes, found, joined, ways):
+        discard(done)
+    out = keyed.select("vec_id", "cls").join(told, "cls", "left").join(many, "vec_id", "left")
     component = F.coalesce("component_id", "vec_id")
     n_links = F.coalesce("many", "n_links", F.lit(0)).cast("long")
     return out.select("vec_id", n_links.alias("n_links"), component.alias("component_id"), F.coalesce(F.col("vec_id") == component, F.lit(True)).alias("kept"))
