@@ -466,6 +466,18 @@ def test_quality(spark, docs, empty):
     assert quality.fit(docs, labels.limit(0)).emit == [0.0] * quality.N_FEATURES
 
 
+def test_quality_of_documents_held_out(spark):
+    """Fitted on half of the labelled documents, right on the other half."""
+    docs, labels = (spark.read.parquet(f"/root/testdata/sf0.01/{x}.parquet") for x in ("documents", "labels"))
+    half = labels.select("doc_id").distinct().count() // 2
+    fitted = {r["doc_id"] for r in labels.select("doc_id").distinct().orderBy(F.xxhash64("doc_id"), "doc_id").limit(half).collect()}
+    held = {r["doc_id"]: r["quality"] for r in labels.collect() if r["doc_id"] not in fitted}
+    odd = labels.select("doc_id", "quality").unionByName(spark.createDataFrame([(k, 7) for k in held], "doc_id long, quality int").withColumn("quality", F.col("quality").cast(labels.schema["quality"].dataType)))
+    report = {r["doc_id"]: r for r in quality.quality_report(docs, quality.fit(docs, odd, most=half)).collect()}
+    right = [report[i]["kept"] == bool(y) for i, y in held.items() if not report[i]["base_failed"]]
+    assert len(right) > 40 and sum(right) / len(right) > 0.95
+
+
 def test_quality_is_fitted_on_all_lines(spark, monkeypatch):
     """Lines after the 120th of a labelled document reach the training."""
     rows = [(k, "\n".join(f"Line {n} of a text." for n in range(300 + k))) for k in range(4)]
@@ -508,3 +520,22 @@ def test_pipeline(spark):
         shown = after
     packed = corpus_pipeline.STAGES[3][1](spark, shown, SMALL)
     assert {r["doc_id"] for r in packed.collect()} == {r["doc_id"] for r in shown.collect()}
+
+
+def test_pipeline_takes_awkward_documents(spark, docs, empty):
+    """Nulls, empty and long texts, repeated rows and clashing columns go through all stages, as does an empty table."""
+    import corpus_pipeline
+
+    rng = random.Random(21)
+    held = docs
+    for name, stage in corpus_pipeline.STAGES:
+        after = stage(spark, held, SMALL)
+        if name != "packing":
+            assert after.columns == docs.columns and after.dtypes == docs.dtypes
+            assert stage(spark, empty, SMALL).count() == 0
+            held = spark.createDataFrame(after.collect(), docs.schema)
+        if name == "quality rules":
+            more = [(None, " ".join(rng.choices([f"v{k}" for k in range(500)], k=30))), (70, None), (71, ""), (71, "")]
+            held = held.unionByName(spark.createDataFrame([(i, t, None, None, None, None, None, None, None, None) for i, t in more], docs.schema))
+    kept = {(r["doc_id"], r["text"]) for r in held.collect()}
+    assert {(70, None), (71, ""), more[0]} <= kept and after.where("doc_id is null").count() > 0 and empty.count() == 0

@@ -4,7 +4,9 @@ Viterbi decoding finds the best label sequence of a document's lines; the share
 characters in content lines decides whether the document stays. Fixed base rules come first.
 Defined results: null text counts as empty; a text without words fails the base rules; repeated
 rows and null ids give one row each; an empty table gives no rows; other columns are ignored.
-Without usable labels the model has no boilerplate evidence and the base rules decide alone.
+Labels are of documents: each line is taught its document's, and the chain learns how they follow each other. Labels
+other than 0 and 1 are ignored; a document with both counts as 0. Without usable labels of both kinds the model has no
+boilerplate evidence and the base rules decide alone.
 """
 
 from __future__ import annotations
@@ -169,7 +171,7 @@ def train(examples: list[tuple[list[list[int]], int]]) -> LineCrf:
 
 def fit(docs: DataFrame, labels: DataFrame, most: int = MAX_LABELLED) -> LineCrf:
     """Fit on at most `most` labelled documents: those whose ids have the smallest hashes."""
-    chosen = labels.where("doc_id is not null and quality is not null").groupBy("doc_id").agg(F.min("quality").alias("quality")).orderBy(F.xxhash64("doc_id"), "doc_id").limit(most).collect()
+    chosen = labels.where("doc_id is not null and quality in (0, 1)").groupBy("doc_id").agg(F.min("quality").alias("quality")).orderBy(F.xxhash64("doc_id"), "doc_id").limit(most).collect()
     quality = {r["doc_id"]: r["quality"] for r in chosen}
     if len(set(quality.values())) < 2:
         return LineCrf()
