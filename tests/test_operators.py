@@ -305,3 +305,26 @@ def test_charging(spark):
     assert charging.distribution({"x": [{"name": "a", "weight": 2}]}, "x", {}) == {"a": 1.0} and charging.distribution({"x": {"a": 0}}, "x", {"z": 2.0}) == {"z": 1.0}
     with pytest.raises(ValueError):
         charging.distribution({"x": {"a": "many"}}, "x", {"z": 1.0})
+
+
+def test_stream_rollups_agree_with_batch(spark, tmp_path):
+    """What the watermark has closed is as in the batch tables."""
+    t = Telemetry.of(spark, SMALL)
+    events = t.raw_events.select("event_time", "event_type", "operator_id", "station_id", "city", "country", "metered", "power_kw", "energy_delta_kwh", "fault_code")
+    events.coalesce(1).write.parquet(str(tmp_path / "events"))
+    t.facts.coalesce(1).write.parquet(str(tmp_path / "facts"))
+    read = lambda name, df: spark.readStream.schema(df.schema).parquet(str(tmp_path / name))
+    made = {"minutes": flow.station_minutes(read("events", events)), "hours": flow.operator_hours(read("facts", t.facts)), "days": flow.city_days(read("events", events))}
+    batch = {"minutes": t.station_minute, "hours": t.operator_hour, "days": t.city_day_faults}
+    for name, df in made.items():
+        query = df.writeStream.format("memory").queryName(f"rolled_{name}").outputMode("append").option("checkpointLocation", str(tmp_path / name)).trigger(availableNow=True).start()
+        assert query.awaitTermination(180)
+        got = spark.table(f"rolled_{name}")
+        own = [x for x in got.columns if x not in ("max_power_kw", "session_stop_count")]
+        keys = [x for x in own if x.startswith(("bucket", "operator", "station", "country", "city"))]
+        cell = lambda x: round(x, 4) if isinstance(x, float) else x
+        want = {tuple(r[k] for k in keys): tuple(cell(r[x]) for x in own) for r in batch[name].collect()}
+        rows = got.collect()
+        assert len(rows) == len({tuple(r[k] for k in keys) for r in rows}) and len(rows) > 10
+        for r in rows:
+            assert tuple(cell(r[x]) for x in own) == want[tuple(r[k] for k in keys)], (name, r)

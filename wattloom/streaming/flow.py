@@ -104,3 +104,42 @@ def write_state(batch: DataFrame, batch_id: int, root: str, keys: list[str]) ->
 def minute_counts(events: DataFrame, watermark: str = "10 minutes") -> DataFrame:
     """Station-minute counts, one row a window once the watermark has passed it."""
     return events.withWatermark("event_time", watermark).groupBy(F.window("event_time", "1 minute").alias("w"), "operator_id", "station_id").agg(F.count("*").alias("events_total"), F.size(F.collect_set("connector_id")).alias("connectors"))
+
+
+def station_minutes(events: DataFrame, watermark: str = "10 minutes") -> DataFrame:
+    """Accepted events by minute, operator and station; energy and power of those that count (`metered`). One row a key,
+    once the watermark has passed its minute."""
+    kind = lambda x: F.count_if(F.col("event_type") == x)
+    power = F.when(F.col("metered"), F.greatest(F.lit(0.0), "power_kw"))
+    energy = F.when(F.col("metered"), F.greatest(F.lit(0.0), "energy_delta_kwh"))
+    by = events.withWatermark("event_time", watermark).groupBy(F.window("event_time", "1 minute").alias("w"), "operator_id", "station_id")
+    counts = by.agg(
+        F.count("*").alias("events_total"), kind("METER_UPDATE").alias("meter_update_count"), kind("SESSION_START").alias("session_start_count"),
+        kind("SESSION_STOP").alias("session_stop_count"), kind("FAULT_ALERT").alias("fault_count"), kind("HEARTBEAT").alias("heartbeat_count"),
+        F.round(F.coalesce(F.sum(energy), F.lit(0.0)), 6).alias("energy_kwh_sum"), F.round(F.coalesce(F.avg(power), F.lit(0.0)), 6).alias("avg_power_kw"),
+        F.round(F.coalesce(F.max(power), F.lit(0.0)), 6).alias("max_power_kw"),
+    )
+    return counts.select(F.col("w.start").alias("bucket_minute"), *(x for x in counts.columns if x != "w"))
+
+
+def operator_hours(facts: DataFrame, watermark: str = "1 hour") -> DataFrame:
+    """Finalised sessions at the hour of their end, by operator."""
+    by = facts.withWatermark("session_end_time", watermark).groupBy(F.window("session_end_time", "1 hour").alias("w"), "operator_id")
+    sums = by.agg(
+        F.round(F.sum("energy_kwh_total"), 6).alias("energy_kwh_sum"), F.round(F.sum("revenue_eur_total"), 6).alias("revenue_eur_sum"),
+        F.sum("is_complete").cast("bigint").alias("sessions_completed"), F.sum(1 - F.col("is_complete")).cast("bigint").alias("sessions_incomplete"),
+        F.round(F.avg("duration_seconds"), 6).alias("avg_session_duration_seconds"),
+    )
+    return sums.select(F.col("w.start").alias("bucket_hour"), *(x for x in sums.columns if x != "w"))
+
+
+def city_days(events: DataFrame, watermark: str = "1 hour") -> DataFrame:
+    """Faults by day, operator, country and city with the commonest code, ties to the greatest: codes are counted first, and
+    the counts of a day meet when it has passed."""
+    known = lambda x: F.coalesce(F.when(F.col(x) != "", F.col(x)), F.lit("unknown"))
+    faults = events.where("event_type = 'FAULT_ALERT'").withWatermark("event_time", watermark)
+    keys = (known("country").alias("country_code"), known("city").alias("city"))
+    codes = faults.groupBy(F.window("event_time", "1 day").alias("w"), "operator_id", *keys, known("fault_code").alias("code")).agg(F.count("*").alias("n"))
+    days = codes.groupBy(F.window("w", "1 day").alias("day"), "operator_id", "country_code", "city")
+    out = days.agg(F.sum("n").cast("bigint").alias("fault_count"), F.max_by("code", F.struct("n", "code")).alias("most_common_fault_code"))
+    return out.select(F.to_date("day.start").alias("bucket_day"), "operator_id", "country_code", "city", "fault_count", "most_common_fault_code")
