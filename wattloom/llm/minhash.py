@@ -9,9 +9,10 @@ with a probability of about one in a million). Collisions are counted as in merg
 - A pair is counted in the first list only that both are posted in, and is skipped if sizes rule out a link or
   other links join its ends already.
 To that end, first every class meets the first class of its lists, and of random parts of them: linear in a list,
-whatever its length. Where a list still holds several components, pairs across them are counted in tiles of
-bounded size inside tasks, on signatures alone. Pairs above the match threshold are verified by a join with whole
-sets of shingles. No pairs are made within a component. Sets and classes are compared by 64-bit hashes.
+whatever its length. Where a list still holds several components, pairs across them are counted in tiles inside
+tasks, blocks of bounded numbers of classes and shingles, the likeliest pairs first; those above the match threshold
+are verified at once on whole sets, since writing them out would make as many rows as a family that is nearly
+similar has pairs. Sets and classes are compared by 64-bit hashes.
 Defined results: null, empty and blank texts have no shingles and are linked with nothing; rows without doc_id are
 kept and linked with nothing (component_id null); a doc_id with several texts is one document that has the links of
 all of them; an empty table gives no rows; other columns are ignored.
@@ -34,6 +35,8 @@ WORDS, PERCENT = 5, 80
 COORDINATES, AGREE = 32, 14
 #: Classes in a tile's block, and candidate ids that may be broadcast (8 bytes each).
 BLOCK, BROADCAST_IDS = 2048, 1 << 20
+#: Shingles in a tile's block, about.
+BLOCK_SHINGLES = 1 << 22
 #: Into how many random parts each list falls for its stars.
 PARTS = (1, 16)
 MEMORY = 500_000
@@ -168,15 +171,26 @@ def star_pairs(postings: DataFrame, sigs: DataFrame, agree: int, percent: int) -
     return pairs.join(of("b"), "b").join(of("a"), "a").where(_likely("a", "b", agree, percent)).select("a", "b")
 
 
-def tile_pairs(rows: list[tuple], first: int, agree: int, percent: int):
-    """Likely pairs across components among (cid, component, n, sig, keys) rows, strip by strip; with first < len(rows)
-    only from the first so many to the rest, otherwise among all."""
+def tile_links(rows: list[tuple], first: int, agree: int, percent: int) -> list[tuple[int, int]]:
+    """Links across components among (cid, comp, sig, keys, members) rows; with first < len(rows) only from
+    the first so many to the rest, otherwise among all. Enough of them to join what they join."""
     whole = first >= len(rows)
-    ids, comp, sizes = (np.array([r[k] for r in rows], np.int64) for k in (0, 1, 2))
-    sig = np.array([r[3] for r in rows], np.int64)
+    sig = np.array([r[2] for r in rows], np.int64)
+    comp = np.unique([r[1] for r in rows], return_inverse=True)[1]
+    sizes = np.array([len(r[4]) for r in rows])
+    parent = list(range(int(comp.max()) + 1))
+
+    def find(x: int) -> int:
+        while parent[x] != x:
+            parent[x] = parent[parent[x]]
+            x = parent[x]
+        return x
+
+    found = []
     step = max(1, (1 << 22) // len(rows))
     for at in range(0, first, step):
-        stop, lo = min(first, at + step), at + 1 if whole else first
+        stop = min(first, at + step)
+        lo = at + 1 if whole else first
         agreed = np.zeros((stop - at, len(rows) - lo), np.uint8)
         for k in range(sig.shape[1]):
             agreed += sig[at:stop, k, None] == sig[None, lo:, k]
@@ -185,32 +199,44 @@ def tile_pairs(rows: list[tuple], first: int, agree: int, percent: int):
         if whole:
             able &= np.arange(at, stop)[:, None] < np.arange(lo, len(rows))[None, :]
         i, j = np.nonzero(able)
-        found = [(int(ids[x]), int(ids[y])) for x, y in zip((i + at).tolist(), (j + lo).tolist()) if rows[x][4].isdisjoint(rows[y][4])]
-        if found:
-            yield found
+        order = np.argsort(-agreed[i, j].astype(np.int16), kind="stable")
+        for i, j in zip((i[order] + at).tolist(), (j[order] + lo).tolist()):
+            a, b = find(comp[i]), find(comp[j])
+            if a == b:
+                continue
+            x, y = rows[i], rows[j]
+            if x[3] and not x[3].isdisjoint(y[3]):
+                continue
+            common = len(x[4]) + len(y[4]) - len(np.union1d(x[4], y[4]))
+            if 100 * common >= percent * (len(x[4]) + len(y[4]) - common):
+                parent[a] = b
+                found.append((x[0], y[0]))
+    return found
 
 
-def crossing_pairs(postings: DataFrame, sigs: DataFrame, comps: DataFrame, agree: int, percent: int, block: int = BLOCK) -> DataFrame:
-    """Likely pairs (a, b) between the components that still share a posting list."""
+def crossing_links(postings: DataFrame, sets: DataFrame, sigs: DataFrame, comps: DataFrame, agree: int, percent: int, block: int = BLOCK) -> DataFrame:
+    """Links between the components that still share a posting list."""
     named = postings.join(comps.select(F.col("u").alias("cid"), "component"), "cid", "left").withColumn("component", F.coalesce("component", "cid"))
-    mixed = named.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi"), F.count("*").alias("n")).where("lo != hi")
-    blocks = F.ceil(F.col("n") / block).cast("int")
+    named = named.join(sigs.select("cid", "n_shingles"), "cid")
+    mixed = named.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi"), F.count("*").alias("n"), F.sum("n_shingles").alias("size")).where("lo != hi")
+    blocks = F.greatest(F.ceil(F.col("n") / block), F.ceil(F.col("size") / BLOCK_SHINGLES)).cast("int")
     placed = named.join(mixed.select("key", blocks.alias("blocks")), "key").withColumn("own", F.pmod(F.xxhash64("cid"), F.col("blocks")).cast("int"))
     # A block meets itself and every other block of its list: tile (i, j) with i <= j.
     placed = placed.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     placed = placed.select("cid", "component", "key", "place", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), (F.col("own") > F.col("other")).alias("second"))
     earlier = postings.groupBy("cid").agg(F.sort_array(F.collect_list(F.struct("place", "key"))).alias("keys"))  # at most 19 a class
-    full = placed.join(sigs.join(earlier, "cid"), "cid").withColumn("keys", F.transform(F.slice("keys", F.lit(1), F.col("place") - 1), lambda k: k["key"])).drop("place")
+    known = sets.join(sigs.select("cid", "sig"), "cid").join(earlier, "cid")
+    full = placed.join(known, "cid").withColumn("keys", F.transform(F.slice("keys", F.lit(1), F.col("place") - 1), lambda k: k["key"])).drop("place")
 
     def run(batches):
         from itertools import groupby
 
         def rows():
             for b in batches:
-                cols = {n: b.column(n).to_pylist() for n in ("cid", "component", "n_shingles", "key", "i", "j", "second", "keys")}
-                sig = b.column("sig")
+                cols = {n: b.column(n).to_pylist() for n in ("cid", "component", "key", "i", "j", "second")}
+                sig, keys, members = b.column("sig"), b.column("keys"), b.column("members")
                 for k in range(b.num_rows):
-                    yield (cols["key"][k], cols["i"][k], cols["j"][k]), cols["second"][k], (cols["cid"][k], cols["component"][k], cols["n_shingles"][k], sig[k].values.to_numpy(), frozenset(cols["keys"][k]))
+                    yield (cols["key"][k], cols["i"][k], cols["j"][k]), cols["second"][k], (cols["cid"][k], cols["component"][k], sig[k].values.to_numpy(), frozenset(keys[k].as_py()), members[k].values.to_numpy())
 
         for (_, i, j), tile in groupby(rows(), lambda r: r[0]):
             tile = list(tile)
@@ -218,8 +244,9 @@ def crossing_pairs(postings: DataFrame, sigs: DataFrame, comps: DataFrame, agree
             rest = [r[2] for r in tile if r[1]]
             if not own or i != j and not rest:
                 continue
-            for pairs in tile_pairs(own + rest, len(own), agree, percent):
-                yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*pairs)], ["a", "b"])
+            links = tile_links(own + rest, len(own), agree, percent)
+            if links:
+                yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*links)], ["a", "b"])
 
     document_batches(postings.sparkSession)
     tiles = full.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j", "second", "cid")
@@ -240,8 +267,8 @@ def linked_classes(docs: DataFrame, size: int, percent: int, agree: int, bridged
         chosen = F.broadcast(chosen)
     sets = saved(_sets(docs.select(F.col("doc_id").cast("long"), "text").join(chosen, "doc_id", "left_semi"), size).where("cid is not null"))
     stars = saved(confirmed(star_pairs(postings, sigs, agree, percent), sets, percent))
-    pairs = saved(crossing_pairs(postings, sigs, components(stars), agree, percent))
-    links = stars.unionByName(confirmed(pairs, sets, percent))
+    crossing = saved(crossing_links(postings, sets, sigs, components(stars), agree, percent))
+    links = stars.unionByName(crossing)
     if bridged:
         texts = real.select("doc_id", "cid").distinct()
         several = texts.groupBy("doc_id").agg(F.min("cid").alias("a"), F.count("*").alias("n")).where("n > 1").select("doc_id", "a")
@@ -250,7 +277,7 @@ def linked_classes(docs: DataFrame, size: int, percent: int, agree: int, bridged
     rooted = classes.join(joined, "cid", "left").withColumn("component", F.coalesce("component", "cid"))
     first = rooted.groupBy("component").agg(F.min(F.struct("rep", "cid")).alias("first"))
     told = saved(rooted.select("cid", "component").join(first, "component").select("cid", F.col("first.rep").alias("first_doc"), F.col("first.cid").alias("first_cid")))
-    for done in (classes, sigs, postings, sets, stars, pairs, joined):
+    for done in (classes, sigs, postings, sets, stars, crossing, joined):
         discard(done)
     return base, told
 
