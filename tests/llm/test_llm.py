@@ -2,6 +2,7 @@
 
 import base64
 import hashlib
+import os
 import random
 import re
 import zlib
@@ -12,7 +13,8 @@ import public_tokenizers
 import pytest
 from pyspark.sql import functions as F
 
-from wattloom.llm import byte_bpe, chat_format, embedding_dedup, html_extract, license_scan, line_dedup, minhash, packing, quality, queries, token_counts
+from wattloom.llm import byte_bpe, chat_format, common, embedding_dedup, html_extract, license_scan, line_dedup, minhash, packing, quality, queries, token_counts
+from wattloom.llm import components as components_module
 from wattloom.llm.components import components
 from wattloom.llm.template import TemplateError, compile_template
 
@@ -183,6 +185,25 @@ def test_short_lines(spark):
     assert {r["doc_id"]: r["text"] for r in line_dedup.dedup_lines(df).collect()} == kept
 
 
+def test_scratch_files_are_few(spark, docs, monkeypatch):
+    """A table of few rows is few files, however many partitions made it, and a file forks no more than two processes."""
+    made = []
+
+    def counted(df, *files):
+        back = common.saved(df, *files)
+        folder = back._wattloom_path.removeprefix("file:")
+        made.append(len([x for x in os.listdir(folder) if x.startswith("part-")]))
+        assert not [x for x in os.listdir(folder) if x.endswith(".crc")]
+        return back
+
+    for module in (line_dedup, minhash, components_module):
+        monkeypatch.setattr(module, "saved", counted)
+    with common.setting(spark, "spark.sql.shuffle.partitions", "23"), common.setting(spark, "spark.sql.adaptive.coalescePartitions.enabled", "false"):
+        assert minhash.without_near_duplicates(docs).count() and line_dedup.dedup_lines(docs).count()
+    # Those whose rows aren't known beforehand: lines, links by stars and by tiles, sets of shingles, edges.
+    assert sum(n > 3 for n in made) <= 6
+
+
 def test_token_counts(docs, empty):
     from tokenizers import Tokenizer
 

@@ -12,6 +12,14 @@ from pyspark.sql import DataFrame, SparkSession
 #: Rows and bytes of an Arrow batch, the same for all operators: a plan made for one may run after another set its own.
 BATCH = {"spark.sql.execution.arrow.maxRecordsPerBatch": "1024", "spark.sql.execution.arrow.maxBytesPerBatch": str(4 << 20)}
 
+#: Each scratch file on a local disk costs permission commands, for which Hadoop forks a process, and for the moment of a
+#: fork the child counts with all of its executor's memory. Without checksum files there are two for a file instead of
+#: three; stores that aren't local don't read these settings.
+LOCAL_FILES = {"fs.file.impl": "org.apache.hadoop.fs.RawLocalFileSystem", "fs.file.impl.disable.cache": "true"}
+#: Rows that a scratch file holds at least, where the number of rows is known beforehand.
+ROWS_A_FILE = 8192
+
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -46,13 +54,19 @@ def setting(spark: SparkSession, key: str, value: str) -> Iterator[None]:
         spark.conf.unset(key) if before is None else spark.conf.set(key, before)
 
 
-def saved(df: DataFrame) -> DataFrame:
+def files_for(rows: int) -> int:
+    """The most files that a table of about so many rows is dealt to: in proportion, so that no task grows with the input."""
+    return 1 + rows // ROWS_A_FILE
+
+
+def saved(df: DataFrame, files: int | None = None) -> DataFrame:
     """df written once to the shared folder and read back: cuts the lineage, survives lost executors. The shuffle files
-    of the job that writes it go when it ends."""
+    of the job that writes it go when it ends. Where files is given, more partitions than that are written together."""
     spark = df.sparkSession
+    df = df if files is None else df.coalesce(files)
     path = f"{shared_dir(spark)}/wattloom/{uuid.uuid4().hex}"
     with setting(spark, "spark.sql.classic.shuffleDependency.fileCleanup.enabled", "true"):
-        df.write.option("compression", "zstd").parquet(path)
+        df.write.options(compression="zstd", **LOCAL_FILES).parquet(path)
     back = spark.read.schema(df.schema).parquet(path)
     back._wattloom_path = path
     return back

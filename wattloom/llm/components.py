@@ -8,7 +8,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from wattloom.llm.common import discard, saved
+from wattloom.llm.common import discard, files_for, saved
 
 MAX_ROUNDS = 60
 
@@ -44,7 +44,7 @@ def components(edges: DataFrame) -> DataFrame:
     held = saved(pairs.distinct())
     before = _sum(held)
     for _ in range(MAX_ROUNDS):
-        after = saved(_small_star(_large_star(held).distinct()).distinct())
+        after = saved(_small_star(_large_star(held).distinct()).distinct(), files_for(before[0]))
         discard(held)
         held, now = after, _sum(after)
         if now == before:

@@ -25,7 +25,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from wattloom.llm.common import discard, saved
+from wattloom.llm.common import discard, files_for, saved
 
 PERCENT = 80
 #: Buckets of word hashes whose counts give the rarity: 128 kB in all.
@@ -166,24 +166,25 @@ def _in_parts(posts: DataFrame) -> DataFrame:
     return posts.withColumn("part", F.explode(F.array(*parts)))
 
 
-def similar_lines(classes: DataFrame, percent: int) -> DataFrame:
-    """cls of every distinct line that an earlier one is similar to."""
-    held = saved(with_partner(postings(classes), percent))
-    ids = saved(held.select("cls").distinct())
+def similar_lines(classes: DataFrame, percent: int, few: int | None = None) -> DataFrame:
+    """cls of every distinct line that an earlier one is similar to; few: the most files of a table on the way."""
+    held = saved(with_partner(postings(classes), percent), few)
+    ids = saved(held.select("cls").distinct(), few)
+
     def known(words: Column) -> Column:
         hashes = F.transform(words, lambda w: F.xxhash64(F.lit("wide"), w))
         return F.struct(words.alias("words"), *(b.alias(x) for x, b in zip(WIDE, _parity(hashes, len(WIDE)))))
 
     lines = classes.select("cls", F.struct("doc", "rk", "pos").alias("at"), "line").join(_few(ids), "cls", "left_semi")
-    lines = saved(lines.select("cls", "at", F.get(F.transform(F.array(words_of(F.col("line"))), known), F.lit(0)).alias("own")))
+    lines = saved(lines.select("cls", "at", F.get(F.transform(F.array(words_of(F.col("line"))), known), F.lit(0)).alias("own")), few)
     words = lines.select("cls", "own.words")
-    posts = saved(held.drop(*BITS).join(lines.select("cls", "at", *(f"own.{x}" for x in WIDE)), "cls"))
+    posts = saved(held.drop(*BITS).join(lines.select("cls", "at", *(f"own.{x}" for x in WIDE)), "cls"), few)
     # The first line of a part is a partial maximum, not a window: a list of any length is dealt over all tasks.
     parted = _in_parts(posts)
     heads = parted.groupBy("token", "part").agg(F.min(F.struct("at", "cls", "n", "place", *WIDE)).alias("first")).select("token", "part", "first.*")
-    settled = saved(_verified(_pairs(parted, heads, ["token", "part"], percent), words, percent))
+    settled = saved(_verified(_pairs(parted, heads, ["token", "part"], percent), words, percent), few)
     rest = posts.join(_few(settled), "cls", "left_anti")
-    more = saved(_verified(_pairs(rest, posts, ["token"], percent), words, percent))
+    more = saved(_verified(_pairs(rest, posts, ["token"], percent), words, percent), few)
     for done in (held, ids, lines, posts):
         discard(done)
     return settled.union(more)
@@ -192,9 +193,10 @@ def similar_lines(classes: DataFrame, percent: int) -> DataFrame:
 def kept_places(docs: DataFrame, percent: int) -> DataFrame:
     """rk and the places of the lines with words that stay, for each document that has any."""
     classes = saved(with_prefix(distinct_lines(docs), rarity(docs), percent))
-    similar = similar_lines(classes, percent)
+    few = files_for(classes.count())
+    similar = similar_lines(classes, percent, few)
     kept = classes.select("cls", "rk", "pos").join(similar, "cls", "left_anti")
-    places = saved(kept.groupBy("rk").agg(F.collect_list("pos").alias("kept")))
+    places = saved(kept.groupBy("rk").agg(F.collect_list("pos").alias("kept")), few)
     discard(classes)
     return places
 

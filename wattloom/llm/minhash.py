@@ -28,7 +28,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window
 
-from wattloom.llm.common import as_bytes, discard, document_batches, partition_index, saved
+from wattloom.llm.common import as_bytes, discard, document_batches, files_for, partition_index, saved
 from wattloom.llm.components import components
 
 WORDS, PERCENT = 5, 80
@@ -257,10 +257,11 @@ def linked_classes(docs: DataFrame, size: int, percent: int, agree: int, bridged
     """The signatures of docs, and the first document and class of each class's component (first_doc, first_cid); where
     bridged, the classes of one doc_id are one node."""
     base = saved(signatures(docs, size))
+    few = files_for(base.count())
     real = base.where("cid is not null and doc_id is not null")
-    classes = saved(real.groupBy("cid").agg(F.min("doc_id").alias("rep"), F.min_by("row", "doc_id").alias("row")))
-    sigs = saved(real.join(classes.select("row"), "row", "left_semi").select("cid", "n_shingles", "sig"))
-    postings = saved(prefix_postings(sigs, agree))
+    classes = saved(real.groupBy("cid").agg(F.min("doc_id").alias("rep"), F.min_by("row", "doc_id").alias("row")), few)
+    sigs = saved(real.join(classes.select("row"), "row", "left_semi").select("cid", "n_shingles", "sig"), few)
+    postings = saved(prefix_postings(sigs, agree), few)
     posted = postings.select("cid").distinct()
     chosen = classes.join(posted, "cid", "left_semi").select(F.col("rep").alias("doc_id"))
     if posted.count() <= BROADCAST_IDS:
@@ -273,10 +274,10 @@ def linked_classes(docs: DataFrame, size: int, percent: int, agree: int, bridged
         texts = real.select("doc_id", "cid").distinct()
         several = texts.groupBy("doc_id").agg(F.min("cid").alias("a"), F.count("*").alias("n")).where("n > 1").select("doc_id", "a")
         links = links.unionByName(texts.join(several, "doc_id").select("a", F.col("cid").alias("b")))
-    joined = saved(components(links).withColumnRenamed("u", "cid"))
+    joined = saved(components(links).withColumnRenamed("u", "cid"), few)
     rooted = classes.join(joined, "cid", "left").withColumn("component", F.coalesce("component", "cid"))
     first = rooted.groupBy("component").agg(F.min(F.struct("rep", "cid")).alias("first"))
-    told = saved(rooted.select("cid", "component").join(first, "component").select("cid", F.col("first.rep").alias("first_doc"), F.col("first.cid").alias("first_cid")))
+    told = saved(rooted.select("cid", "component").join(first, "component").select("cid", F.col("first.rep").alias("first_doc"), F.col("first.cid").alias("first_cid")), few)
     for done in (classes, sigs, postings, sets, stars, crossing, joined):
         discard(done)
     return base, told
