@@ -185,6 +185,21 @@ def test_short_lines(spark):
     assert {r["doc_id"]: r["text"] for r in line_dedup.dedup_lines(df).collect()} == kept
 
 
+def test_white_space_parts_words(spark):
+    """Lines that only differ in white space have one set of words; those that a word differs in too few words stay."""
+    line = "one two three four five six"
+    rows = [(1, line), (2, "one\ttwo  three\x0bfour\ffive six\r"), (3, "\t\x0b \f\r\n \t" + line + " seven eight"), (4, "one two\tthree four five seven"), (5, None)]
+    out = {r["doc_id"]: (r["n_lines"], r["removed"]) for r in line_dedup.line_report(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert out == {1: (1, []), 2: (1, [0]), 3: (2, []), 4: (1, []), 5: (0, [])}
+
+
+def test_line_report_moves_no_text(docs):
+    """The report's last join takes places of lines, not texts or lines."""
+    plan = line_dedup.line_report(docs)._jdf.queryExecution().optimizedPlan().toString()
+    join = plan[plan.index("Join LeftOuter") :].split("\n")
+    assert "lines#" not in join[1].split("AS worded")[1] and "text#" not in join[1].split("AS worded")[1]
+
+
 def test_scratch_files_are_few(spark, docs, monkeypatch):
     """A table of few rows is few files, however many partitions made it, and a file forks no more than two processes."""
     made = []

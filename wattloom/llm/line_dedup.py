@@ -34,6 +34,8 @@ BUCKETS = 1 << 16
 PARTS = (1, 16, 256)
 #: Ids of lines that may be broadcast (8 bytes each).
 BROADCAST_IDS = 1 << 20
+#: What parts words in a line besides spaces.
+WHITE = "\t\x0b\f\r"
 #: The longs of the parity filter of all postings, and of the one of lines that pass it: 64 bits each.
 BITS, WIDE = ("b0", "b1"), tuple(f"w{k}" for k in range(4))
 
@@ -43,16 +45,15 @@ def has_word(line: Column) -> Column:
     return ~F.ascii(F.ltrim(line)).isin(0, 9, 11, 12, 13) | line.rlike(r"[^ \t\x0B\f\r]")
 
 
-def raw_words(line: Column) -> Column:
-    """The words of a line that has any; among them an empty one where spaces don't part them singly."""
-    # Splitting at a single character is a plain search, several times as fast as a pattern that finds any of the four.
-    odd = reduce(Column.__or__, (F.size(F.split(line, x)) > 1 for x in ("\t", "\x0b", "\f", "\r")))
-    return F.when(odd, F.split(F.btrim(line, F.lit(" \t\x0b\f\r")), r"[ \t\x0B\f\r]+")).otherwise(F.split(line, " "))
+def spaced(text: Column) -> Column:
+    """text with spaces for all that parts words in a line. Lines that only differ in this have one set of words."""
+    odd = reduce(Column.__or__, (F.contains(text, F.lit(x)) for x in WHITE))
+    return F.when(odd, F.translate(text, WHITE, " " * len(WHITE))).otherwise(text)
 
 
 def words_of(line: Column) -> Column:
-    """The distinct words of a line."""
-    return F.array_remove(F.array_distinct(raw_words(line)), "")
+    """The distinct words of a line of spaced text."""
+    return F.array_remove(F.array_distinct(F.split(line, " ")), "")
 
 
 def _keyed(docs: DataFrame) -> DataFrame:
@@ -93,30 +94,31 @@ def _differ(x: str, y: str, planes: tuple[str, ...]) -> Column:
 
 
 def distinct_lines(docs: DataFrame) -> DataFrame:
-    """cls, doc, rk, pos and line of the first place of every distinct line with a word."""
-    keyed = _keyed(docs).select(F.coalesce("doc_id", F.lit((1 << 63) - 1)).alias("doc"), "rk", F.posexplode(F.split("text", "\n")).alias("pos", "line"))
-    lines = keyed.where(has_word(F.col("line")))
+    """cls, doc, rk, pos and (spaced) line of the first place of every distinct line with a word."""
+    keyed = _keyed(docs).withColumn("text", spaced(F.col("text")))
+    keyed = keyed.select(F.coalesce("doc_id", F.lit((1 << 63) - 1)).alias("doc"), "rk", F.posexplode(F.split("text", "\n")).alias("pos", "line"))
+    lines = keyed.where(F.ltrim("line") != "")
     keys = F.xxhash64("line").alias("cls"), F.xxhash64(F.lit("second"), "line").alias("cls2")
     return lines.groupBy(*keys).agg(F.min(F.struct("doc", "rk", "pos", "line")).alias("first")).select("cls", "first.*")
 
 
 def with_prefix(lines: DataFrame, levels: Column, percent: int) -> DataFrame:
     """Adds own: n (distinct words), their parity bits and prefix (the tokens to post under, rarest first)."""
-    codes = F.array_distinct(F.transform(raw_words(F.col("line")), lambda w: F.xxhash64(w)))
-    codes = F.array_remove(codes, F.xxhash64(F.lit("")))
+    none = F.xxhash64(F.lit(""))
+    codes = F.array_remove(F.array_distinct(F.transform(F.split("line", " "), lambda w: F.xxhash64(w))), none)
     # A word's token: its rarity, then 55 bits of its hash.
     token = lambda h: F.shiftleft(F.get(levels, _bucket(h)).cast("bigint"), 55).bitwiseOR(F.shiftrightunsigned(h, 9))
-
-    def summary(tokens: Column) -> Column:
-        n = F.size(tokens)
-        # Where n of n + 1 words are too few, only equal sets are similar: those meet under the hash of all their tokens.
-        alone = F.array(F.shiftrightunsigned(F.xxhash64(tokens), 1))
-        first = F.slice(tokens, F.lit(1), n - F.floor((percent * n + 99) / 100).cast("int") + 1)
-        prefix = F.when(n * (100 - percent) < percent, alone).otherwise(first)
-        return F.struct(n.alias("n"), *(b.alias(x) for x, b in zip(BITS, _parity(tokens, len(BITS)))), prefix.alias("prefix"))
-
-    # A lambda's argument is worked out once; as columns, the optimiser would copy the tokens into each of their uses.
-    return lines.withColumn("own", F.get(F.transform(F.array(F.sort_array(F.transform(codes, token))), summary), F.lit(0)))
+    # Columns used more than once stay columns of their own. So sets are made and sorted by compiled code, which is not so
+    # for what stands below a lambda function.
+    held = lines.withColumn("codes", codes)
+    held = held.withColumns({"n": F.size("codes"), "tokens": F.sort_array(F.transform("codes", token))}).drop("codes")
+    n, tokens = F.col("n"), F.col("tokens")
+    # Where n of n + 1 words are too few, only equal sets are similar: those meet under the hash of all their tokens.
+    alone = F.array(F.shiftrightunsigned(F.xxhash64(tokens), 1))
+    first = F.slice(tokens, F.lit(1), n - F.floor((percent * n + 99) / 100).cast("int") + 1)
+    prefix = F.when(n * (100 - percent) < percent, alone).otherwise(first)
+    own = F.struct("n", *(b.alias(x) for x, b in zip(BITS, _parity(tokens, len(BITS)))), prefix.alias("prefix"))
+    return held.select(*lines.columns, own.alias("own"))
 
 
 def postings(classes: DataFrame) -> DataFrame:
@@ -201,23 +203,26 @@ def kept_places(docs: DataFrame, percent: int) -> DataFrame:
     return places
 
 
-def _with_removed(docs: DataFrame, text: str, places: DataFrame) -> DataFrame:
-    """docs(.., text, rk) with lines instead of text, and the places of the lines that go. Lines are split before
-    the join, so that they are a column, and not an expression, for what looks lines up by their place."""
-    lines = F.split(text, "\n")
-    worded = F.filter(F.transform(lines, lambda line, i: F.when(has_word(line), i)), lambda i: i.isNotNull())
-    split = docs.withColumn("lines", lines).withColumn("worded", worded).drop(text)
+def _worded(lines: Column) -> Column:
+    """The places of the lines that have a word."""
+    return F.filter(F.transform(lines, lambda line, i: F.when(has_word(line), i)), lambda i: i.isNotNull())
+
+
+def _with_removed(docs: DataFrame, places: DataFrame) -> DataFrame:
+    """docs(.., worded, rk) with the places of the lines that go."""
     none = F.array().cast("array<int>")
     removed = F.coalesce(F.sort_array(F.array_except("worded", F.coalesce("kept", none))), none)
-    return split.join(places, "rk", "left").withColumn("removed", removed).drop("worded", "kept")
+    return docs.join(places, "rk", "left").withColumn("removed", removed).drop("worded", "kept")
 
 
 def line_report(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     """doc_id, n_lines, n_removed and the places (from 0) of the removed lines of every row."""
     docs = docs.select("doc_id", "text")
-    told = _with_removed(_keyed(docs), "text", kept_places(docs, percent))
+    places = kept_places(docs, percent)
     n_lines = F.greatest(F.coalesce(F.size("lines"), F.lit(0)), F.lit(0)).cast("long")
-    return told.select("doc_id", n_lines.alias("n_lines"), F.size("removed").cast("long").alias("n_removed"), "removed")
+    # Lines are counted before the join, so that no text goes through it.
+    split = _keyed(docs).withColumn("lines", F.split("text", "\n")).select("doc_id", "rk", n_lines.alias("n_lines"), _worded(F.col("lines")).alias("worded"))
+    return _with_removed(split, places).select("doc_id", "n_lines", F.size("removed").cast("long").alias("n_removed"), "removed")
 
 
 def dedup_lines(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
@@ -226,7 +231,9 @@ def dedup_lines(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     plain = docs.toDF(*names)
     doc, text = (names[[c.lower() for c in docs.columns].index(x)] for x in ("doc_id", "text"))
     places = kept_places(docs.select("doc_id", "text"), percent)
-    told = _with_removed(plain.withColumn("rk", F.xxhash64(F.col(doc).cast("long"), text)), text, places)
+    # Lines are split before the join, so that they are a column, and not an expression, for what looks lines up by their place.
+    split = plain.withColumn("rk", F.xxhash64(F.col(doc).cast("long"), text)).withColumn("lines", F.split(text, "\n"))
+    told = _with_removed(split.withColumn("worded", _worded(F.col("lines"))).drop(text), places)
     stay = F.array_except(F.sequence(F.lit(0), F.size("lines") - 1), "removed")
     rest = F.when(F.size("removed") == 0, F.col("lines")).otherwise(F.transform(stay, lambda i: F.element_at("lines", i + 1)))
     now = told.withColumn("now", F.array_join(rest, "\n"))
