@@ -193,6 +193,32 @@ def test_white_space_parts_words(spark):
     assert out == {1: (1, []), 2: (1, [0]), 3: (2, []), 4: (1, []), 5: (0, [])}
 
 
+def test_posted_tokens_are_plain_longs(spark, docs):
+    """Tokens are sorted and postings joined without tests for nulls; a line's second long of parity bits is made for long lines only."""
+    classes = line_dedup.with_prefix(line_dedup.distinct_lines(docs), line_dedup.rarity(docs), 80)
+    assert not classes.schema["own"].dataType["prefix"].dataType.containsNull
+    read = spark.createDataFrame(classes.limit(5).collect(), classes.schema)
+    assert [f.name for f in line_dedup.postings(read).schema if f.nullable] == []
+    rows = [(1, " ".join(f"w{i}" for i in range(k, k + n))) for k, n in ((0, 3), (10, 64), (100, 65), (200, 300))]
+    made = spark.createDataFrame(rows, "doc_id long, text string")
+    own = [r["own"] for r in line_dedup.with_prefix(line_dedup.distinct_lines(made), line_dedup.rarity(made), 80).collect()]
+    assert sorted((x["n"], x["b1"] != 0) for x in own) == [(3, False), (64, False), (65, True), (300, True)]
+
+
+def test_similar_lines_about_the_long_bound(spark):
+    """Lines of about as many words as those with a second long of parity bits, similar ones on both sides of the bound."""
+    rng, rows = random.Random(5), []
+    for k in range(40):
+        words = [f"w{rng.randrange(4000)}" for _ in range(rng.randrange(45, 95))]
+        rows.append((2 * k, " ".join(words)))
+        gone = rng.sample(range(len(words)), rng.randrange(len(words) // 3))
+        rows.append((2 * k + 1, " ".join(w for i, w in enumerate(words) if i not in gone) + " x" * (k % 2)))
+    removed = brute_lines(rows)
+    assert 10 < len(removed) < 40
+    got = line_dedup.line_report(spark.createDataFrame(rows, "doc_id long, text string").repartition(3)).collect()
+    assert {r["doc_id"]: r["removed"] for r in got if r["removed"]} == removed
+
+
 def test_line_report_moves_no_text(docs):
     """The report's last join takes places of lines, not texts or lines."""
     plan = line_dedup.line_report(docs)._jdf.queryExecution().optimizedPlan().toString()

@@ -59,14 +59,14 @@ def files_for(rows: int) -> int:
     return 1 + rows // ROWS_A_FILE
 
 
-def saved(df: DataFrame, files: int | None = None) -> DataFrame:
+def saved(df: DataFrame, files: int | None = None, level: int = 3) -> DataFrame:
     """df written once to the shared folder and read back: cuts the lineage, survives lost executors. The shuffle files
-    of the job that writes it go when it ends. Where files is given, more partitions than that are written together."""
+    of the job that writes it go when it ends. Where files is given, more partitions than that are written together. level: of compression."""
     spark = df.sparkSession
     df = df if files is None else df.coalesce(files)
     path = f"{shared_dir(spark)}/wattloom/{uuid.uuid4().hex}"
     with setting(spark, "spark.sql.classic.shuffleDependency.fileCleanup.enabled", "true"):
-        df.write.options(compression="zstd", **LOCAL_FILES).parquet(path)
+        df.write.options(compression="zstd", **{"parquet.compression.codec.zstd.level": str(level)}, **LOCAL_FILES).parquet(path)
     back = spark.read.schema(df.schema).parquet(path)
     back._wattloom_path = path
     return back

@@ -25,11 +25,13 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from wattloom.llm.common import discard, files_for, saved
+from wattloom.llm.common import discard, files_for, saved, setting
 
 PERCENT = 80
-#: Buckets of word hashes whose counts give the rarity: 128 kB in all.
-BUCKETS = 1 << 16
+#: Buckets of word hashes whose counts give the rarity. With few of them rare words share theirs with common ones, and lists grow.
+BUCKETS = 1 << 18
+#: Lines of more words than this have a second long in the parity filter of all postings.
+LONG = 64
 #: Into how many random parts each list falls, one star round after the other.
 PARTS = (1, 16, 256)
 #: Ids of lines that may be broadcast (8 bytes each).
@@ -65,29 +67,38 @@ def _bucket(h: Column) -> Column:
 
 
 def rarity(docs: DataFrame) -> Column:
-    """The rarity of each bucket of word hashes: five steps a doubling of the count of its words."""
+    """The rarity of each bucket of word hashes: four steps a doubling of the count of its words. Numbers up to 127 are shared
+    objects in the JVM, so that looking one up touches little memory."""
     words = docs.select(F.explode(F.split(F.replace("text", F.lit("\n"), F.lit(" ")), " ")).alias("word"))
     counts = words.groupBy(_bucket(F.xxhash64("word")).alias("bucket")).agg(F.count("*").alias("n"))
-    level = {r["bucket"]: r["level"] for r in counts.select("bucket", F.round(5 * F.log2("n")).cast("int").alias("level")).collect()}
-    return F.split(F.lit(",".join(str(min(255, level.get(b, 0))) for b in range(BUCKETS))), ",").cast("array<smallint>")
+    # The first table of a compiled aggregate holds 2^16 groups by default; what is beyond goes through a slower one.
+    with setting(docs.sparkSession, "spark.sql.codegen.aggregate.fastHashMap.capacityBit", str(BUCKETS.bit_length())):
+        found = counts.select("bucket", F.round(4 * F.log2("n")).cast("int").alias("level")).toArrow()
+    level = dict(zip(found["bucket"].to_pylist(), found["level"].to_pylist()))
+    return F.split(F.lit(",".join(str(min(127, level.get(b, 0))) for b in range(BUCKETS))), ",").cast("array<bigint>")
+
+
+def _bits(h: Column, planes: int) -> list[Column]:
+    """A token's bit in each plane, of 64 classes: of all tokens, those with one flag of their hash, with another, and with
+    both (2 or 4 planes). Told apart by their flags the tokens have 64 classes a plane."""
+    flag = lambda k: F.shiftright(h, 6 + k).bitwiseAND(F.lit(1))
+    marks = (F.lit(1).cast("bigint"), flag(0), flag(1), flag(0).bitwiseAND(flag(1)))
+    return [F.call_function("shiftleft", mark, h.bitwiseAND(F.lit(63)).cast("int")) for mark in marks[:planes]]
 
 
 def _parity(tokens: Column, planes: int) -> list[Column]:
-    """The parity of a line's tokens in 64 classes: over all tokens, over those with one flag of their hash, with another,
-    and with both (2 or 4 planes). Told apart by their flags the tokens have 64 classes a plane."""
+    """The parity of a line's tokens in the classes of _bits."""
     none = F.lit(0).cast("bigint")
-    flag = lambda h, k: F.shiftright(h, 6 + k).bitwiseAND(F.lit(1))
-    marks = (lambda h: F.lit(1).cast("bigint"), lambda h: flag(h, 0), lambda h: flag(h, 1), lambda h: flag(h, 0).bitwiseAND(flag(h, 1)))
-    bit = lambda h, mark: F.call_function("shiftleft", mark(h), h.bitwiseAND(F.lit(63)).cast("int"))
-    over = lambda mark: F.aggregate(tokens, none, lambda b, h: b.bitwiseXOR(bit(h, mark)))
-    return [over(mark) for mark in marks[:planes]]
+    over = lambda k: F.aggregate(tokens, none, lambda b, h: b.bitwiseXOR(_bits(h, planes)[k]))
+    return [over(k) for k in range(planes)]
 
 
-def _differ(x: str, y: str, planes: tuple[str, ...]) -> Column:
-    """In how many classes of tokens the parity of two lines differs: in no more than they have words not in common."""
+def _differ(x: str, y: str, planes: tuple[str, ...], least: Column) -> Column:
+    """In how many classes of tokens the parity of two lines differs: in no more than they have words not in common.
+    least: the words of the shorter line."""
     every, one, *more = (F.col(f"{x}.{p}").bitwiseXOR(F.col(f"{y}.{p}")) for p in planes)
     if not more:
-        return F.bit_count(every.bitwiseXOR(one)) + F.bit_count(one)
+        return F.when(least > LONG, F.bit_count(every.bitwiseXOR(one)) + F.bit_count(one)).otherwise(F.bit_count(every))
     other, both = more
     parts = (one.bitwiseXOR(both), other.bitwiseXOR(both), both)
     return reduce(Column.__add__, map(F.bit_count, (reduce(Column.bitwiseXOR, parts, every), *parts)))
@@ -106,8 +117,9 @@ def with_prefix(lines: DataFrame, levels: Column, percent: int) -> DataFrame:
     """Adds own: n (distinct words), their parity bits and prefix (the tokens to post under, rarest first)."""
     none = F.xxhash64(F.lit(""))
     codes = F.array_remove(F.array_distinct(F.transform(F.split("line", " "), lambda w: F.xxhash64(w))), none)
-    # A word's token: its rarity, then 55 bits of its hash.
-    token = lambda h: F.shiftleft(F.get(levels, _bucket(h)).cast("bigint"), 55).bitwiseOR(F.shiftrightunsigned(h, 9))
+    # A word's token: its rarity, then 55 bits of its hash. It is never null, and has to be known not to be: only then are
+    # tokens sorted as longs, and not as objects that a comparator unwraps.
+    token = lambda h: F.shiftleft(F.coalesce(F.get(levels, _bucket(h)), F.lit(0).cast("bigint")), 55).bitwiseOR(F.shiftrightunsigned(h, 9))
     # Columns used more than once stay columns of their own. So sets are made and sorted by compiled code, which is not so
     # for what stands below a lambda function.
     held = lines.withColumn("codes", codes)
@@ -117,29 +129,35 @@ def with_prefix(lines: DataFrame, levels: Column, percent: int) -> DataFrame:
     alone = F.array(F.shiftrightunsigned(F.xxhash64(tokens), 1))
     first = F.slice(tokens, F.lit(1), n - F.floor((percent * n + 99) / 100).cast("int") + 1)
     prefix = F.when(n * (100 - percent) < percent, alone).otherwise(first)
-    own = F.struct("n", *(b.alias(x) for x, b in zip(BITS, _parity(tokens, len(BITS)))), prefix.alias("prefix"))
+    every, one = _parity(tokens, len(BITS))
+    bits = every, F.when(n > LONG, one).otherwise(F.lit(0).cast("bigint"))
+    own = F.struct("n", *(b.alias(x) for x, b in zip(BITS, bits)), prefix.alias("prefix"))
     return held.select(*lines.columns, own.alias("own"))
 
 
 def postings(classes: DataFrame) -> DataFrame:
     """token, cls, n, place (from 1) and parity bits of every prefix token."""
-    own = [f"own.{x}" for x in ("n", *BITS)]
-    posts = classes.select("cls", *own, F.posexplode("own.prefix").alias("place", "token"))
-    return posts.select("token", "cls", "n", (F.col("place") + 1).alias("place"), *BITS)
+    # What is read from files may be null as far as the plan knows; told that it isn't, the join of all postings tests no nulls.
+    none = F.lit(0).cast("bigint")
+    own = (F.coalesce(f"own.{x}", none).alias(x) for x in BITS)
+    n = F.coalesce("own.n", F.lit(0)).alias("n")
+    posts = classes.select(F.coalesce("cls", none).alias("cls"), n, *own, F.posexplode("own.prefix").alias("place", "token"))
+    return posts.select(F.coalesce("token", none).alias("token"), "cls", "n", (F.col("place") + 1).alias("place"), *BITS)
 
 
 def _able(x: str, y: str, percent: int, bits: tuple[str, ...]) -> Column:
     """Parity, length and positional filter for a token of two lines."""
     (nx, px), (ny, py) = ((F.col(f"{a}.n"), F.col(f"{a}.place")) for a in (x, y))
-    near = (100 + percent) * _differ(x, y, bits) <= (100 - percent) * (nx + ny)
+    near = (100 + percent) * _differ(x, y, bits, F.least(nx, ny)) <= (100 - percent) * (nx + ny)
     long = 100 * F.least(nx, ny) >= percent * F.greatest(nx, ny)
     return near & long & ((100 + percent) * F.least(nx - px + 1, ny - py + 1) >= percent * (nx + ny))
 
 
 def with_partner(posts: DataFrame, percent: int) -> DataFrame:
-    """The postings that some other line's posting in their list lets pass all filters."""
+    """The postings, without parity bits, that some other line's posting in their list lets pass all filters."""
     x, y = posts.alias("x"), posts.alias("y")
-    return x.join(y, (F.col("x.token") == F.col("y.token")) & _able("x", "y", percent, BITS) & (F.col("x.cls") != F.col("y.cls")), "left_semi")
+    met = x.join(y, (F.col("x.token") == F.col("y.token")) & _able("x", "y", percent, BITS) & (F.col("x.cls") != F.col("y.cls")), "left_semi")
+    return met.drop(*BITS)
 
 
 def _few(ids: DataFrame) -> DataFrame:
@@ -173,14 +191,13 @@ def similar_lines(classes: DataFrame, percent: int, few: int | None = None) -> D
     held = saved(with_partner(postings(classes), percent), few)
     ids = saved(held.select("cls").distinct(), few)
 
-    def known(words: Column) -> Column:
-        hashes = F.transform(words, lambda w: F.xxhash64(F.lit("wide"), w))
-        return F.struct(words.alias("words"), *(b.alias(x) for x, b in zip(WIDE, _parity(hashes, len(WIDE)))))
-
     lines = classes.select("cls", F.struct("doc", "rk", "pos").alias("at"), "line").join(_few(ids), "cls", "left_semi")
-    lines = saved(lines.select("cls", "at", F.get(F.transform(F.array(words_of(F.col("line"))), known), F.lit(0)).alias("own")), few)
-    words = lines.select("cls", "own.words")
-    posts = saved(held.drop(*BITS).join(lines.select("cls", "at", *(f"own.{x}" for x in WIDE)), "cls"), few)
+    words = lines = saved(lines.select("cls", "at", words_of(F.col("line")).alias("words")), few)
+    # Words as rows: their parity is an aggregate in compiled code, and whole before the shuffle as a line lies in one task.
+    hashes = lines.select("cls", F.explode("words").alias("word")).select("cls", F.xxhash64(F.lit("wide"), "word").alias("h"))
+    wide = hashes.groupBy("cls").agg(*(F.bit_xor(b).alias(x) for x, b in zip(WIDE, _bits(F.col("h"), len(WIDE)))))
+    known = lines.select("cls", "at").join(wide, "cls")
+    posts = saved(held.join(known, "cls"), few)
     # The first line of a part is a partial maximum, not a window: a list of any length is dealt over all tasks.
     parted = _in_parts(posts)
     heads = parted.groupBy("token", "part").agg(F.min(F.struct("at", "cls", "n", "place", *WIDE)).alias("first")).select("token", "part", "first.*")
@@ -194,10 +211,11 @@ def similar_lines(classes: DataFrame, percent: int, few: int | None = None) -> D
 
 def kept_places(docs: DataFrame, percent: int) -> DataFrame:
     """rk and the places of the lines with words that stay, for each document that has any."""
-    classes = saved(with_prefix(distinct_lines(docs), rarity(docs), percent))
+    # The only large table on the way: compressed lightly, as it is read once for its texts.
+    classes = saved(with_prefix(distinct_lines(docs), rarity(docs), percent), None, 1)
     few = files_for(classes.count())
     similar = similar_lines(classes, percent, few)
-    kept = classes.select("cls", "rk", "pos").join(similar, "cls", "left_anti")
+    kept = classes.select("cls", "rk", "pos").join(_few(similar), "cls", "left_anti")
     places = saved(kept.groupBy("rk").agg(F.collect_list("pos").alias("kept")), few)
     discard(classes)
     return places
