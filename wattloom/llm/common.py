@@ -16,6 +16,8 @@ BATCH = {"spark.sql.execution.arrow.maxRecordsPerBatch": "1024", "spark.sql.exec
 #: fork the child counts with all of its executor's memory. Without checksum files there are two for a file instead of
 #: three; stores that aren't local don't read these settings.
 LOCAL_FILES = {"fs.file.impl": "org.apache.hadoop.fs.RawLocalFileSystem", "fs.file.impl.disable.cache": "true"}
+#: For a large table of values that seldom repeat, read once or twice: light compression, no dictionaries, no statistics of sizes.
+LIGHT = {"parquet.compression.codec.zstd.level": "1", "parquet.enable.dictionary": "false", "parquet.size.statistics.enabled": "false"}
 #: Rows that a scratch file holds at least, where the number of rows is known beforehand.
 ROWS_A_FILE = 8192
 
@@ -59,14 +61,14 @@ def files_for(rows: int) -> int:
     return 1 + rows // ROWS_A_FILE
 
 
-def saved(df: DataFrame, files: int | None = None, level: int = 3) -> DataFrame:
+def saved(df: DataFrame, files: int | None = None, light: bool = False) -> DataFrame:
     """df written once to the shared folder and read back: cuts the lineage, survives lost executors. The shuffle files
-    of the job that writes it go when it ends. Where files is given, more partitions than that are written together. level: of compression."""
+    of the job that writes it go when it ends. Where files is given, more partitions than that are written together. light: write it cheaply."""
     spark = df.sparkSession
     df = df if files is None else df.coalesce(files)
     path = f"{shared_dir(spark)}/wattloom/{uuid.uuid4().hex}"
     with setting(spark, "spark.sql.classic.shuffleDependency.fileCleanup.enabled", "true"):
-        df.write.options(compression="zstd", **{"parquet.compression.codec.zstd.level": str(level)}, **LOCAL_FILES).parquet(path)
+        df.write.options(compression="zstd", **LOCAL_FILES, **(LIGHT if light else {})).parquet(path)
     back = spark.read.schema(df.schema).parquet(path)
     back._wattloom_path = path
     return back

@@ -181,8 +181,9 @@ def _pairs(rest: DataFrame, others: DataFrame, on: list[str], percent: int) -> D
 
 
 def _in_parts(posts: DataFrame) -> DataFrame:
-    """Each posting in its random part of each division of its list."""
-    parts = (F.lit(k << 16) + F.pmod(F.xxhash64("cls", F.lit(k)), F.lit(n)).cast("int") for k, n in enumerate(PARTS))
+    """Each posting in its random part of each division of its list. One hash names list and part, as one long is sorted by
+    radix and two aren't; where two parts share it a star is larger or a pair is left to the lists."""
+    parts = (F.xxhash64("token", F.lit(k), F.pmod(F.xxhash64("cls", F.lit(k)), F.lit(n))) for k, n in enumerate(PARTS))
     return posts.withColumn("part", F.explode(F.array(*parts)))
 
 
@@ -200,8 +201,8 @@ def similar_lines(classes: DataFrame, percent: int, few: int | None = None) -> D
     posts = saved(held.join(known, "cls"), few)
     # The first line of a part is a partial maximum, not a window: a list of any length is dealt over all tasks.
     parted = _in_parts(posts)
-    heads = parted.groupBy("token", "part").agg(F.min(F.struct("at", "cls", "n", "place", *WIDE)).alias("first")).select("token", "part", "first.*")
-    settled = saved(_verified(_pairs(parted, heads, ["token", "part"], percent), words, percent), few)
+    heads = parted.groupBy("part").agg(F.min(F.struct("at", "cls", "n", "place", *WIDE)).alias("first")).select("part", "first.*")
+    settled = saved(_verified(_pairs(parted, heads, ["part"], percent), words, percent), few)
     rest = posts.join(_few(settled), "cls", "left_anti")
     more = saved(_verified(_pairs(rest, posts, ["token"], percent), words, percent), few)
     for done in (held, ids, lines, posts):
@@ -211,8 +212,7 @@ def similar_lines(classes: DataFrame, percent: int, few: int | None = None) -> D
 
 def kept_places(docs: DataFrame, percent: int) -> DataFrame:
     """rk and the places of the lines with words that stay, for each document that has any."""
-    # The only large table on the way: compressed lightly, as it is read once for its texts.
-    classes = saved(with_prefix(distinct_lines(docs), rarity(docs), percent), None, 1)
+    classes = saved(with_prefix(distinct_lines(docs), rarity(docs), percent), None, True)
     few = files_for(classes.count())
     similar = similar_lines(classes, percent, few)
     kept = classes.select("cls", "rk", "pos").join(_few(similar), "cls", "left_anti")
